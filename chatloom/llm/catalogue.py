@@ -6,6 +6,10 @@ import importlib
 
 MODULES = [
     "chatloom.llm.item_pairs",
+    "chatloom.llm.one_form",
+    "chatloom.llm.term_bitmaps",
+    "chatloom.llm.tokenize_corpus",
+    "chatloom.llm.top_n",
 ]
 
 
