@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 MODULES = [
     "chatloom.operators.tree_aggregate",
+    "chatloom.sources.rejects",
 ]
 
 
