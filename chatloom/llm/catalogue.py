@@ -6,7 +6,10 @@ import importlib
 
 MODULES = [
     "chatloom.llm.item_pairs",
+    "chatloom.llm.leaks",
+    "chatloom.llm.near_copies",
     "chatloom.llm.one_form",
+    "chatloom.llm.reading_level",
     "chatloom.llm.term_bitmaps",
     "chatloom.llm.tokenize_corpus",
     "chatloom.llm.top_n",
