@@ -5,6 +5,8 @@ Every function takes and gives a column; null stays null. Patterns are Java regu
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,6 +38,11 @@ URL = r"((http|ftp|https)://)(([a-zA-Z0-9._-]+.[a-zA-Z]{2,6})|([0-9]{1,3}.[0-9]{
 # -------------------------------------------------------------------------------------------------------------------------------------
 
 
+def bind(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f(c) with ``c`` worked out once, however often ``f`` uses it: otherwise a filter on a cleaned text repeats the cleaning for each use."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def _drop(c: Column, pattern: str) -> Column:
     return F.regexp_replace(c, pattern, "")
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = [
     "chatloom.operators.tree_aggregate",
     "chatloom.sources.rejects",
+    "chatloom.plans.text_queries",
+    "chatloom.plans.log_queries",
 ]
 
 
