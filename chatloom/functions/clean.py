@@ -47,6 +47,26 @@ def _drop(c: Column, pattern: str) -> Column:
     return F.regexp_replace(c, pattern, "")
 
 
+def _guarded_drop(c: Column, pattern: str, guard: Callable[[Column], Column]) -> Column:
+    """Patterns that begin with a wildcard cost the square of the length where they don't match: only texts that hold a literal they need
+    are searched."""
+    return bind(c, lambda x: F.when(guard(x), F.regexp_replace(x, pattern, "")).otherwise(x))
+
+
+def _has(*words: str) -> Callable[[Column], Column]:
+    def guard(x: Column) -> Column:
+        out = x.contains(words[0])
+        for w in words[1:]:
+            out = out | x.contains(w)
+        return out
+
+    return guard
+
+
+_may_be_voice = _has("声音=")
+_may_be_picture = _has("图片", "[")
+
+
 def chinese_ratio(c: Column) -> Column:
     """Letters that are no ASCII letters or digits, as a share of the length; null for the empty text (there is no ratio)."""
     letters = F.length(F.regexp_replace(c, r"[^\p{L}]|[a-zA-Z]", ""))
@@ -103,19 +123,19 @@ def not_cont_duplicate_char_check(c: Column, n: int) -> Column:
 
 
 def remove_voice(c: Column) -> Column:
-    return _drop(c, VOICE)
+    return _guarded_drop(c, VOICE, _may_be_voice)
 
 
 def is_voice(c: Column) -> Column:
-    return c.rlike(VOICE)
+    return bind(c, lambda x: _may_be_voice(x) & x.rlike(VOICE))
 
 
 def remove_picture(c: Column) -> Column:
-    return _drop(c, "|".join(PICTURES))
+    return _guarded_drop(c, "|".join(PICTURES), _may_be_picture)
 
 
 def is_picture(c: Column) -> Column:
-    return c.rlike("|".join(PICTURES))
+    return bind(c, lambda x: _may_be_picture(x) & x.rlike("|".join(PICTURES)))
 
 
 def contains_chinese(c: Column) -> Column:
@@ -123,15 +143,15 @@ def contains_chinese(c: Column) -> Column:
 
 
 def remove_qq(c: Column) -> Column:
-    return _drop(c, "|".join(QQ_MARKS))
+    return _guarded_drop(c, "|".join(QQ_MARKS), _has("@", "[CQ:at,"))
 
 
 def remove_face(c: Column) -> Column:
-    return _drop(c, "|".join([*FACES, REPEATED_FACE]))
+    return _guarded_drop(c, "|".join([*FACES, REPEATED_FACE]), lambda x: _has("&#91;", "[", "原创表情")(x) | F.lower(x).contains("face"))
 
 
 def remove_hex(c: Column) -> Column:
-    return _drop(c, HEX)
+    return _guarded_drop(c, HEX, _has("["))
 
 
 def remove_abnormal(c: Column) -> Column:
@@ -139,7 +159,7 @@ def remove_abnormal(c: Column) -> Column:
 
 
 def remove_meaningless(c: Column) -> Column:
-    return _drop(c, "|".join(MEANINGLESS))
+    return _guarded_drop(c, "|".join(MEANINGLESS), _has(MEANINGLESS[-1]))
 
 
 def remove_line_ends(c: Column) -> Column:

@@ -83,7 +83,8 @@ def _distance_batch(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def edit_distance(a: Column, b: Column) -> Column:
     """Weighted edit distance as a float: free characters cost nothing, the dear one 5, C against G 2, all else 1. Null for null."""
-    d = F.pandas_udf(_distance_batch, "float")(a, b)
+    # Declared so that the optimizer doesn't run it anew for each use of its result (a filter and a column, say).
+    d = F.pandas_udf(_distance_batch, "float").asNondeterministic()(a, b)
     return F.when(a.isNotNull() & b.isNotNull(), d)
 
 
@@ -99,11 +100,11 @@ def edit_distance_expression(a: Column, b: Column) -> Column:
         start = F.array(F.get(row, F.lit(0)) + cost(x))
 
         def cell(acc: Column, p: Column) -> Column:
-            y, j = p.getField("0"), p.getField("1")
+            y, j = p.getField("y"), p.getField("j")
             best = F.least(F.get(row, j - 1) + swap(x, y), F.get(row, j) + cost(x), F.element_at(acc, -1) + cost(y))
             return F.concat(acc, F.array(best))
 
-        return F.aggregate(F.filter(pairs, lambda p: p.getField("0").isNotNull()), start, cell)
+        return F.aggregate(F.filter(pairs, lambda p: p.getField("y").isNotNull()), start, cell)
 
     return F.element_at(F.aggregate(chars(a), first, step), -1).cast("float")
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatloom.functions import clean
@@ -124,7 +125,9 @@ def period_counts(log: DataFrame, ref: str, excluded_faqs: list[str], unclear: l
 
 def question_map(rows: DataFrame) -> DataFrame:
     """Each question with its originals and counts."""
-    return type_counts(rows).join(rows.select("question", "original").distinct(), "question")
+    each = rows.groupBy("question", "original").agg(F.count_if(F.col("type") == 0).alias("n0"), F.count_if(F.col("type") == 11).alias("n11"))
+    whole = W.partitionBy("question")  # one row per original is left: the log is read and cleaned once
+    return each.select("question", "original", F.sum("n0").over(whole).alias("cnt0"), F.sum("n11").over(whole).alias("cnt11"))
 
 
 def question_faq(log: DataFrame, excluded_faqs: list[str], above: float = ANSWERED_ABOVE) -> DataFrame:
@@ -137,8 +140,7 @@ def question_faq(log: DataFrame, excluded_faqs: list[str], above: float = ANSWER
     rows = checked(rows.where(~F.col("faq").isin(excluded_faqs)), clean.simplify(F.col("original")), lambda q: clean.question_check(q, F.col("ex"), *MAPPING_LENGTHS))
     rows = rows.withColumn("answered", F.coalesce((F.col("sim") > above) & (F.trim("faq") != ""), F.lit(False)))
     out = rows.groupBy("question", "original").agg(F.bool_or("answered").alias("answered"), F.max_by("faq", F.struct("answered", "visit_time", "log_id")).alias("faq"))
-    n = out.groupBy("question").agg(F.count("*").alias("n_originals"))
-    return out.join(n, "question")
+    return out.withColumn("n_originals", F.count("*").over(W.partitionBy("question")))
 
 
 def faq_ids(log: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ MODULES = [
     "chatloom.sources.rejects",
     "chatloom.plans.text_queries",
     "chatloom.plans.log_queries",
+    "chatloom.plans.pair_queries",
+    "chatloom.plans.job_queries",
 ]
 
 
@@ -33,4 +35,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queries()["p2_faq"](spark, sf_dir)
+    return queries()["unanswered_by_day"](spark, sf_dir)
