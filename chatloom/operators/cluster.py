@@ -59,6 +59,7 @@ def similar_in_group(df: DataFrame, group: str, text: str, t: float = SIMILARITY
     near = (F.col("ni") >= F.col("nj")) & (F.col("i") != F.col("j")) & (2 * F.abs(F.col("mi") - F.col("mj")) <= F.col("lost"))
     met = long.join(short, ["group", "key"]).where(near).select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct()
     pairs = met.join(rows.select(F.col("id").alias("i"), "group", F.col("x").alias("a")), "i").join(rows.select(F.col("id").alias("j"), F.col("x").alias("b")), "j").select("group", "a", "b")
+    pairs = pairs.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few bytes, much work
     scored = materialize(pairs.withColumn("sim", sm.edit_similar(F.col("a"), F.col("b"))).where(F.col("sim") >= t), "group-pairs")
     return scored.unionByName(scored.select("group", F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
 

@@ -1,66 +1,103 @@
 """Similar question pairs: lossless blocking, similarity, thresholds, removal of dominated questions, centres.
 
-A pair passes only with equal model numbers and a similarity above 0.5. Then it shares a token, or its first word run, or (with no common
-token the edit similarity must reach 0.75) a pair of neighbouring characters that cost something; only very short or nearly free texts can do
-without, and meet through a key of their own. So equality joins on these keys lose no pair of the full product."""
+A pair passes only with equal model numbers and with an edit similarity or a token overlap above the least threshold t. By the overlap, the
+common tokens weigh more than t of either text's, so that one of the rarest tokens of each, all but a share t of its weight, is common. By the
+edit similarity, fewer than (1 - t) * length edits lie between the texts, so that one of as many and one more of the longer text's rarest
+characters that cost anything is in the shorter text. Equality joins on these keys lose no pair of the full product."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatloom.functions import similarity as sm
+from chatloom.runtime import materialize
 
 
 def tokens(c: Column) -> Column:
     return F.split(c, " ")
 
 
-def _costly(c: Column) -> Column:
-    return F.regexp_replace(c, f"[{sm.FREE}]", "")
+def _rare_first(each: DataFrame, seen: DataFrame) -> DataFrame:
+    """Keys of each text with their frequency in ``seen``, to be ordered rarest first."""
+    n = seen.groupBy("key").agg(F.count("*").alias("often"))
+    return each.join(n, "key", "left").withColumn("often", F.coalesce("often", F.lit(0)))
 
 
-def _weak(c: Column) -> Column:
-    """Whether an edit similarity of 0.75 to a text no longer than this one may leave no common pair of costly characters."""
-    return 2 * F.length(_costly(c)) < F.length(c) + 4
+def _token_keys(side: DataFrame, seg: str, domain: list[str] | None) -> DataFrame:
+    t = tokens(F.col(seg))
+    words = side.select("id", "model", F.explode(F.array_distinct(t)).alias("key"), t.alias("all"))
+    weight = F.size(F.filter("all", lambda x: x == F.col("key"))) if domain is None else F.when(F.col("key").isin(domain or [""]), 3).otherwise(1)
+    return words.select("id", "model", "key", weight.alias("w"))
 
 
-def block_keys(question: Column, segment: Column, left: bool) -> Column:
-    """A text's blocking keys. Texts of which a partner may be weak carry the key of all short ones; left and right differ only there."""
-    bare = F.replace(question, F.lit(" "), F.lit(""))
-    costly = _costly(bare)
-    run = F.regexp_extract(bare, sm.WORD_RUN, 0)
-    n = F.length(costly)
-    grams = F.when(n >= 2, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.concat(F.lit("b"), F.substring(costly, i, F.lit(2)))))
-    named = F.transform(tokens(segment), lambda t: F.concat(F.lit("t"), t))
-    # Either text may be the longer, weak one: weak texts of each side meet all texts of the other.
-    weak = F.when(_weak(bare), F.array(F.lit("wl" if left else "wr"))).otherwise(F.array().cast("array<string>"))
-    other = F.array(F.lit("wr" if left else "wl"))
-    none = F.array().cast("array<string>")
-    return F.array_distinct(F.concat(named, F.when(run != "", F.array(F.concat(F.lit("r"), run))).otherwise(none), F.coalesce(grams, none), weak, other))
+def _char_keys(side: DataFrame, q: str) -> DataFrame:
+    costly = F.regexp_replace(q, f"[{sm.FREE}]", "")
+    chars = F.array_distinct(F.filter(F.split(costly, ""), lambda c: c != ""))
+    return side.select("id", "model", F.length(q).alias("n"), F.size(chars).alias("m"), F.explode_outer(chars).alias("key"))
 
 
-def candidate_pairs(yesterday: DataFrame, recent: DataFrame, differ: bool = False) -> DataFrame:
-    """Pairs that pass the filter before similarity: q1, seg1 and q2, seg2 (and the other columns of ``recent``).
+def _block(one: DataFrame, two: DataFrame, domain: list[str] | None, t: float) -> DataFrame:
+    """Pairs of numbers (i of ``one``, j of ``two``) that share a key. one, two: id, model, q, seg (q without blanks)."""
+    order = W.partitionBy("id").orderBy("often", "key")
 
-    yesterday: q1, seg1; recent: q2, seg2, more. Texts are at least three characters and of two tokens on the left; model numbers are equal,
-    and so are mixed letter-digit tokens where both have one."""
-    one = yesterday.where((F.length("q1") > 2) & F.col("seg1").contains(" ")).distinct()
-    one = one.select("*", sm.model_number(F.col("q1")).alias("model"), sm.mixed_token(F.col("q1")).alias("mixed1"))
-    two = recent.select("*", sm.model_number(F.col("q2")).alias("model"), sm.mixed_token(F.col("q2")).alias("mixed2"))
-    left = one.select("q1", "seg1", "mixed1", "model", F.explode(block_keys(F.col("q1"), F.col("seg1"), True)).alias("key"))
-    right = two.select("q2", "seg2", "mixed2", "model", F.explode(block_keys(F.col("q2"), F.col("seg2"), False)).alias("key"))
+    def token_prefix(side: DataFrame, seen: DataFrame) -> DataFrame:
+        rows = _rare_first(_token_keys(side, "seg", domain), seen)
+        rows = rows.withColumn("before", F.coalesce(F.sum("w").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).withColumn("whole", F.sum("w").over(W.partitionBy("id")))
+        return rows.where(F.col("before") <= (1 - t) * F.col("whole") + 1e-9).select("id", "model", "key")
+
+    def char_prefix(side: DataFrame, seen: DataFrame) -> DataFrame:
+        edits = F.floor((1 - t) * F.col("n") + F.lit(1e-6))
+        rows = _rare_first(_char_keys(side, "q").where("key is not null"), seen).withColumn("place", F.row_number().over(order))
+        few = _char_keys(side, "q").select("id", "model", "n", "m").distinct().where(F.col("m") <= edits).select("id", "model", "n", F.lit("any").alias("key"))
+        return rows.where(F.col("place") <= edits + 1).select("id", "model", "n", "key").unionByName(few)
+
+    def all_chars(side: DataFrame) -> DataFrame:
+        every = _char_keys(side, "q")
+        return every.where("key is not null").select("id", "model", "n", "key").unionByName(every.select("id", "model", "n", F.lit("any").alias("key")).distinct())
+
+    seen_tokens, seen_chars = _token_keys(two, "seg", domain), _char_keys(two, "q")
+    named = lambda d, i, n=None: d.select("model", "key", F.col("id").alias(i), *([F.col("n").alias(n)] if n else []))
+    by_token = named(token_prefix(one, seen_tokens), "i").join(named(token_prefix(two, seen_tokens), "j"), ["model", "key"]).select("i", "j")
+    left_long = named(char_prefix(one, seen_chars), "i", "ni").join(named(all_chars(two), "j", "nj"), ["model", "key"]).where("ni >= nj").select("i", "j")
+    right_long = named(char_prefix(two, seen_chars), "j", "nj").join(named(all_chars(one), "i", "ni"), ["model", "key"]).where("nj >= ni").select("i", "j")
+    return by_token.unionByName(left_long).unionByName(right_long).distinct()
+
+
+def candidate_pairs(yesterday: DataFrame, recent: DataFrame, differ: bool = False, domain: list[str] | None = None, least: float = 0.5) -> DataFrame:
+    """Pairs that pass the filter before similarity and may exceed ``least``: q1, seg1, q2, seg2.
+
+    yesterday: q1, seg1; recent: q2, seg2. Texts are at least three characters and of two tokens on the left; model numbers are equal, and so
+    are mixed letter-digit tokens where both have one. ``domain`` must be that of the similarity."""
+    side = lambda d, q, seg: d.select(F.col(q).alias("text"), F.col(seg).alias("seg")).where("text is not null and seg is not null").distinct().select("*", sm.model_number(F.col("text")).alias("model"), sm.mixed_token(F.col("text")).alias("mixed"), F.replace("text", F.lit(" "), F.lit("")).alias("q"), F.monotonically_increasing_id().alias("id"))
+    one = materialize(side(yesterday.where((F.length("q1") > 2) & F.col("seg1").contains(" ")), "q1", "seg1"), "pairs-left")
+    two = materialize(side(recent, "q2", "seg2"), "pairs-right")
+    met = _block(one, two, domain, least)
+    left = one.select(F.col("id").alias("i"), F.col("text").alias("q1"), F.col("seg").alias("seg1"), F.col("mixed").alias("mixed1"))
+    right = two.select(F.col("id").alias("j"), F.col("text").alias("q2"), F.col("seg").alias("seg2"), F.col("mixed").alias("mixed2"))
     agree = (F.col("mixed1") == "none") | (F.col("mixed2") == "none") | (F.col("mixed1") == F.col("mixed2"))
-    pairs = left.join(right.distinct(), ["model", "key"]).where(agree)
+    pairs = met.join(left, "i").join(right, "j").where(agree)
     if differ:
         pairs = pairs.where(F.trim("q1") != F.trim("q2"))
-    return pairs.select("q1", "seg1", "q2", "seg2").distinct()
+    # The overlap of characters and the lengths once more, now that both texts are at hand: most short-long pairs go here.
+    a, b = (F.replace(q, F.lit(" "), F.lit("")) for q in ("q1", "q2"))
+    edits = F.floor((1 - least) * F.greatest(F.length(a), F.length(b)) + F.lit(1e-6))
+    costly = lambda c: F.array_distinct(F.split(F.regexp_replace(c, f"[{sm.FREE}]", ""), ""))
+    lost = F.greatest(F.size(F.array_except(costly(a), costly(b))), F.size(F.array_except(costly(b), costly(a))))
+    overlap = sm.jaccard(tokens(F.col("seg1")), tokens(F.col("seg2"))) if domain is None else sm.domain_jaccard(tokens(F.col("seg1")), tokens(F.col("seg2")), domain)
+    return pairs.where((lost <= edits + 1) | (overlap > least)).select("q1", "seg1", "q2", "seg2")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def similar_pairs(pairs: DataFrame, domain: list[str] | None = None, short: int = 5, high: float = 0.6) -> DataFrame:
     """Pairs whose similarity exceeds the threshold for their lengths."""
     sim = sm.similar_new(F.col("q1"), F.col("q2"), tokens(F.col("seg1")), tokens(F.col("seg2")), domain)
-    scored = pairs.withColumn("sim", sim)
+    # Few bytes but much work in each row: spread evenly, or adaptive execution leaves it to a few tasks.
+    scored = spread(pairs).withColumn("sim", sim)
     return scored.where(F.col("sim").isNotNull() & (F.col("sim") > sm.adaptive_threshold(F.col("q1"), F.col("q2"), short, high))).select("q1", "q2", "sim")
 
 

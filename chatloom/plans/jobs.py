@@ -61,7 +61,7 @@ def similar_job(log: DataFrame, c: JobConfig) -> dict[str, DataFrame]:
     day = _unanswered(log, c, c.periods[0]).select(F.col("question").alias("q1")).distinct().withColumn("seg1", seg("q1"))
     recent = _unanswered(log, c, c.periods[2]).select(F.col("question").alias("q2")).distinct().withColumn("seg2", seg("q2"))
     day = materialize(day, "day")
-    pairs = materialize(pr.similar_pairs(pr.candidate_pairs(day, recent), c.domain, c.short, c.high), "similar")
+    pairs = materialize(pr.similar_pairs(pr.candidate_pairs(day, recent, domain=c.domain), c.domain, c.short, c.high), "similar")
     return {"all": pairs, "unique": pr.drop_dominated(pairs), "non_centres": pr.non_centres(pairs, day)}
 
 
@@ -71,7 +71,7 @@ def knn_job(log: DataFrame, c: JobConfig) -> dict[str, DataFrame]:
     faqs = materialize(un.question_faq(log, c.excluded_faqs).groupBy("question").agg(F.max_by("faq", F.struct("answered", "faq")).alias("faq"), F.bool_or("answered").alias("answered")), "faqs")
     day = _unanswered(log, c, c.periods[0]).select(F.col("question").alias("q1")).distinct().withColumn("seg1", seg("q1"))
     recent = faqs.select(F.col("question").alias("q2")).withColumn("seg2", seg("q2"))
-    pairs = pr.similar_pairs(pr.candidate_pairs(day, recent, differ=True), c.domain, c.short, 0.5)
+    pairs = pr.similar_pairs(pr.candidate_pairs(day, recent, differ=True, domain=c.domain), c.domain, c.short, 0.5)
     marked = materialize(pr.sample_splits(pairs, faqs.withColumnRenamed("question", "q2")), "knn")
     samples = marked.where("knn_sample").select(F.col("q1").alias("question"), F.col("q2").alias("similar"), F.col("sim").alias("similarity"), "faq")
     all_ = ra.merge_recommendations([ra.knn_recommend(samples)], un.faq_ids(log))

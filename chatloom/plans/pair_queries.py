@@ -110,7 +110,7 @@ def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     yesterday, recent = _sides(spark, sf_dir)
-    return pr.similar_pairs(pr.candidate_pairs(yesterday, recent), DOMAIN)
+    return pr.similar_pairs(pr.candidate_pairs(yesterday, recent, domain=DOMAIN), DOMAIN)
 
 
 _SIM = f"""
