@@ -83,3 +83,17 @@ def merge_recommendations(parts: list[DataFrame], ids: DataFrame, classes: int =
 def training_lines(samples: DataFrame, label: str, segment: str) -> DataFrame:
     """Lines ``__label__F TAB segment`` for a text classifier; blanks in a label become ``_sp_``."""
     return samples.select(F.concat(F.lit("__label__"), F.replace(F.col(label), F.lit(" "), F.lit("_sp_")), F.lit("\t"), F.col(segment)).alias("line"))
+
+
+def best_of_cluster(members: DataFrame, weights: DataFrame, key: str = "text") -> DataFrame:
+    """The heaviest member of each cluster: group, cluster, text, weight. Members without a weight count as 0; ties: smaller text."""
+    joined = members.join(weights, key, "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
+    return top_per_key(joined, ["group", "cluster"], [F.desc("weight"), F.col(key)], 1).select("group", "cluster", key, "weight")
+
+
+def require_rows(df: DataFrame, least: int = 2) -> DataFrame:
+    """The table itself, if it has at least ``least`` rows; an error names the shortage otherwise. Reads no more than ``least`` rows."""
+    n = len(df.select(F.lit(1)).take(least))
+    if n < least:
+        raise ValueError(f"{n} rows, at least {least} are needed")
+    return df

@@ -36,7 +36,30 @@ QUERIES = {
     "job_handoffs": _job("semantic", "handoffs"), "job_mapping": _job("mapping", "questions"), "job_segments": _job("segment", "segments"), "job_training": _job("training", "lines"), "job_import": _job("import", "days"),
     "job_mining_pairs": _job("mining", "pairs"), "streamed_counts": streamed,
 }
+
+
+
+def _month(days: int = 30) -> str:
+    """The period's log with simplified questions, to stand in for the whole log."""
+    return f"(select * replace ({lq.simplify_sql('question')} as question) from robot_log where {lq._days(days)})"
+
+
+def _over(name: str, days: int = 30) -> str:
+    return lq.SQL[name].replace("from robot_log", f"from {_month(days)} robot_log")
+
+
+_SEG = "array_to_string(regexp_extract_all(question, '[一-龥]|[a-zA-Z0-9]+'), ' ')"
 SQL = {
+    "job_unanswered_periods": f"with {lq._unanswered_sql(1)}, b as (select cast(substr(visit_time, 1, 10) as date) as date, ex, {lq.simplify_sql('question')} as question, {lq._type(True)} as type from robot_log where {lq._days(30)}) "
+    f"select question, {', '.join(lq._P)} from b where type in (0, 11) and {lq.check_sql('question', 'ex', 2, 40)} and question in (select question from un) group by 1",
+    "job_platforms": _over("platform_sets"),
+    "job_suggestions": f"select * from ({_over('click_rate')}) where question in (select question from {_month(1)} where try_cast(answer_type as integer) = 11)",
+    "job_handoffs": f"select question, a.n_sessions as n_1d, coalesce(b.n_sessions, 0) as n_7d, coalesce(c.n_sessions, 0) as n_30d from ({_over('handoff_counts', 1)}) a left join ({_over('handoff_counts', 7)}) b using (question) left join ({_over('handoff_counts')}) c using (question) where question <> ''",
+    "job_mapping": lq.SQL["question_faq"].replace("from robot_log)", f"from robot_log where {lq._days(30)})"),
+    "job_segments": f"select distinct faq_name as label, question, {_SEG} as segment from robot_log where faq_name <> '' and question <> ''",
+    "job_training": f"""with n as (select faq_name, question, count(*) as n from robot_log where faq_name <> '' and answer_type in ('1', '2') and question <> '' group by 1, 2),
+      r as (select *, sum(n) over (partition by faq_name)::bigint as total, row_number() over (partition by faq_name order by n desc, question) as rank from n)
+      select '__label__' || replace(faq_name, ' ', '_sp_') || chr(9) || {_SEG} as line from r where rank <= 20 + total // 100""",
     "job_unanswered_recent": f"with {lq._unanswered_sql(30)} select question, min(type) as type from un group by 1",
     "streamed_counts": """select strftime(try_strptime(visit_time, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H') as hour, count(*) as n, count(*) filter (answer_type = '0') as cnt0, count(*) filter (answer_type = '11') as cnt11
       from robot_log where try_strptime(visit_time, '%Y-%m-%d %H:%M:%S') is not null group by 1""",

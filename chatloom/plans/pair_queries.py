@@ -181,9 +181,19 @@ _add("samples_per_key", lambda s, d: ra.samples_per_key(_log(s, d).where("faq_na
 _add("top_questions", lambda s, d: _log(s, d).where("question is not null").groupBy("question").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "question").limit(20), "select question, count(*) as n from robot_log where question is not null group by 1 order by 2 desc, 1 limit 20")
 _add("first_1001", lambda s, d: _log(s, d).orderBy("visit_time", "log_id").limit(1001).select("log_id"), "select log_id from robot_log order by visit_time, log_id limit 1001")
 _add("training_lines", lambda s, d: ra.training_lines(_log(s, d).where("faq_name <> '' and answer_type in ('1', '2') and segment is not null"), "faq_name", "segment"), "select '__label__' || replace(faq_name, ' ', '_sp_') || chr(9) || segment as line from robot_log where faq_name <> '' and answer_type in ('1', '2') and segment is not null")
+_add("best_of_answer_type", lambda s, d: ra.best_of_cluster(_log(s, d).where("question is not null and platform is not null").select(F.col("platform").alias("group"), F.col("answer_type").alias("cluster"), F.col("question").alias("text")).distinct(), _log(s, d).where("question is not null").groupBy(F.col("question").alias("text")).agg(F.count("*").cast("double").alias("weight"))),
+     """with m as (select distinct platform as "group", answer_type as cluster, question as "text" from robot_log where question is not null and platform is not null), w as (select question as "text", count(*)::double as weight from robot_log where question is not null group by 1)
+     select "group", cluster, "text", weight from (select *, row_number() over (partition by "group", cluster order by weight desc, "text") as r from m join w using ("text")) where r = 1""")
 _add("rank_in_group", lambda s, d: ra.ranked_with_size(table(s, d, "sim_cross").where("sim is not null and not isnan(sim)").select("pair_id", "yestques", "sim"), ["yestques"], [F.desc("sim"), F.col("pair_id")], 3), "select *, count(*) over (partition by yestques) as size from (select pair_id, yestques, sim, row_number() over (partition by yestques order by sim desc, pair_id) as rank from sim_cross where sim is not null and not isnan(sim)) where rank <= 3")
 
 
+def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted classes of all segmented questions, by a regression fitted on them: whether a question was answered."""
+    rows = _log(spark, sf_dir).where("segment is not null").select("segment", (~F.col("answer_type").isin("0", "11")).cast("double").alias("label")).where("label is not null")
+    made = mi.hashed_features(rows, "segment", STOP, 1 << 10)
+    return mi.logistic_predict(made, made, "label").groupBy("prediction").agg(F.count("*").alias("n"))
+
+
 # --- Clustering and mining -------------------------------------------------------------------------------------------------------------
 def _groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _log(spark, sf_dir).where("faq_name <> '' and question <> ''").select("faq_name", "question")
@@ -198,6 +208,7 @@ _add("cluster_weights", lambda s, d: cl.cluster_weights(density(s, d)))
 _add("canopy", lambda s, d: cl.canopy(table(s, d, "std_question").withColumn("seg", F.array_join(segment.tokenize(F.col("question"), "char"), " ")), "question", "seg", "std_id", 0.6, 0.5))
 _add("similar_in_group", lambda s, d: cl.similar_in_group(_groups(s, d), "faq_name", "question", 0.8).withColumn("sim", F.round("sim", 7)))
 _add("kmeans_groups", lambda s, d: cl.kmeans_groups(_log(s, d).where("segment is not null").groupBy("segment").agg(F.min("log_id").alias("log_id")).withColumn("tokens", F.split("segment", " ")), "tokens", 400, features=1 << 14).groupBy("group").agg(F.count("*").alias("n")))
+_add("class_counts", lambda s, d: _classified(s, d))
 _BASKET = "select pno, vipno, list_distinct(list(trim(prodno))) as items from retail_action where pno <> '' and trim(prodno) <> '' group by 1, 2"
 
 
