@@ -316,5 +316,13 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return between.unionByName(within).select(F.least("x", "y").alias("log_id_a"), F.greatest("x", "y").alias("log_id_b"))
 
 
-SQL: dict[str, str] = {}
+_SPACE = r"[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+SQL = {
+    "p6_found": f"""with r as (select log_id, regexp_replace(question, '{_SPACE}', '', 'g') as x from robot_log where question is not null),
+      s as (select log_id, x, dense_rank() over (order by x) as c from r where length(x) >= 40),
+      g as (select c, unnest(list_distinct(list_transform(range(1, length(x) - 1), lambda i: substr(x, i, 3)))) as g from (select distinct c, x from s)),
+      n as (select c, count(*) as n from g group by 1), b as (select l.c as a, r.c as b, count(*) as k from g l join g r on l.g = r.g and l.c < r.c group by 1, 2),
+      p as (select a, b from b join n x on x.c = a join n y on y.c = b where k * 10 >= 6 * (x.n + y.n - k) union all select distinct c, c from s)
+      select distinct least(l.log_id, r.log_id) as log_id_a, greatest(l.log_id, r.log_id) as log_id_b from p join s l on l.c = a join s r on r.c = b where l.log_id <> r.log_id""",
+}
 QUERIES = {"p6_links": p6_links, "p6_found": p6_found}
