@@ -59,17 +59,18 @@ def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
-def batches(it: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
-    """Re-chunk Arrow batches to tables of about ``rows`` rows."""
+def batches(it: Iterator[pa.RecordBatch], rows: int, max_bytes: int = 64 << 20) -> Iterator[pa.Table]:
+    """Re-chunk Arrow batches to tables of about ``rows`` rows, or fewer where they would exceed ``max_bytes``."""
     held: list[pa.RecordBatch] = []
-    n = 0
+    n = size = 0
     for b in it:
-        if b.num_rows == 0:
-            continue
-        held.append(b)
-        n += b.num_rows
-        if n >= rows:
-            yield pa.Table.from_batches(held)
-            held, n = [], 0
+        step = max(1, b.num_rows * max_bytes // max(b.nbytes, 1))
+        for k in range(0, b.num_rows, step):
+            held.append(b.slice(k, step))
+            n += held[-1].num_rows
+            size += held[-1].nbytes
+            if n >= rows or size >= max_bytes:
+                yield pa.Table.from_batches(held)
+                held, n, size = [], 0, 0
     if held:
         yield pa.Table.from_batches(held)
