@@ -22,7 +22,7 @@ def test_names():
 def test_works_without_the_llm_folder(tmp_path):
     for name in ("chatloom", "__spark_entry__.py"):
         subprocess.run(["cp", "-r", f"{ROOT}/{name}", tmp_path], check=True)
-    subprocess.run(["rm", "-r", tmp_path / "chatloom/llm"], check=True)
+    subprocess.run(["rm", "-rf", tmp_path / "chatloom/llm"], check=True)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'p2_found' in q and 'p1_found' not in q and set(e.oracle_sql()) <= set(q)"
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=env)
