@@ -1,7 +1,7 @@
 """Clustering of texts and the outputs of classifiers on top of pyspark.ml.
 
-Sequential algorithms run per group with a fixed order. A group must fit a task: groups beyond ``MAX_GROUP`` rows are refused by name, so
-split them first (``kmeans_groups`` does)."""
+Sequential algorithms run with a fixed order. Density clusters of a group beyond ``MAX_PAIRS`` rows of pairs are made in parallel rounds; a
+canopy's centres must fit a task and are refused beyond ``MAX_GROUP``."""
 
 from __future__ import annotations
 
@@ -17,6 +17,8 @@ from chatloom.functions import similarity as sm
 from chatloom.runtime import materialize
 
 MAX_GROUP = 20_000
+#: Rows of similar pairs of a group that go to one task.
+MAX_PAIRS = MAX_GROUP * 64
 GROUP_LENGTH = 1000
 ITERATIONS = 20
 SIMILARITY = 0.66
@@ -66,8 +68,6 @@ def similar_in_group(df: DataFrame, group: str, text: str, t: float = SIMILARITY
 
 def _greedy(rows: pd.DataFrame) -> pd.DataFrame:
     """rows: group, a, b, sim (b null for a text without neighbours). Texts in falling number of neighbours, then by name."""
-    if len(rows) > MAX_GROUP * 64:
-        raise ValueError(f"group {rows['group'].iloc[0]} has too many similar pairs for one task; split it first")
     near: dict[str, list[tuple[float, str]]] = {}
     for a, b, s in zip(rows["a"], rows["b"], rows["sim"]):
         mine = near.setdefault(a, [(math.inf, a)])
@@ -93,16 +93,59 @@ def _greedy(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["group", "cluster", "text", "flag"])
 
 
-def density_clusters(df: DataFrame, group: str, text: str, t: float = SIMILARITY) -> DataFrame:
+def _rounds(pairs: DataFrame, kind: str) -> DataFrame:
+    """What ``_greedy`` gives for groups of any size, in rounds. pairs: group, a, b, sim, a null b for each text itself.
+
+    Each round settles all free texts that come before every free text with which they share a free neighbour (themselves included). These
+    take disjoint texts, and no text settled later could have come before them, so the outcome is that of one text after the other. The
+    first free text of a group is always settled; a round costs joins over the links between texts still free."""
+    # Numbers in place of texts: g a group, p the place in the order of the pass, r the place by name.
+    groups = materialize(pairs.select("group").distinct().withColumn("g", F.monotonically_increasing_id()), "cluster-groups")
+    numbered = pairs.join(F.broadcast(groups.withColumnRenamed("group", "_group")), F.col("group").eqNullSafe(F.col("_group"))).select("g", "a", "b", "sim")
+    order = W.partitionBy("g")
+    texts = numbered.groupBy("g", "a").agg(F.count("*").alias("n"))
+    texts = texts.select("g", F.col("a").alias("text"), F.row_number().over(order.orderBy(F.desc("n"), "a")).alias("p"), F.row_number().over(order.orderBy("a")).alias("r"))
+    texts = materialize(texts, "cluster-texts")
+    left, right = texts.select("g", F.col("text").alias("a"), "p"), texts.select("g", F.col("text").alias("b"), F.col("p").alias("q"), "r")
+    # p's neighbour q with its place by name; a text is its own neighbour.
+    links = materialize(numbered.withColumn("b", F.coalesce("b", "a")).join(left, ["g", "a"]).join(right, ["g", "b"]).select("g", "p", "q", "r", "sim"), "cluster-links")
+    # near: the most similar core neighbour so far (then by name) with its cluster, which the place of its first text names.
+    free = materialize(texts.select("g", "p", F.lit(None).cast("struct<far:double,r:int,cluster:int>").alias("near")), "cluster-free")
+    made = None
+    while free.head(1):
+        first = links.groupBy("g", "q").agg(F.min("p").alias("first"))
+        ready = links.join(first, ["g", "q"]).groupBy("g", "p").agg(F.min("first").alias("first")).where(F.col("first") == F.col("p")).select("g", "p")
+        opened = free.join(ready, ["g", "p"]).select("g", "p", F.coalesce("near.cluster", "p").alias("cluster"), F.col("near").isNull().cast("int").alias("flag"))
+        now = materialize(links.join(opened, ["g", "p"]).select("g", "q", "r", "cluster", "flag"), "cluster-taken")
+        made = now if made is None else made.unionByName(now)
+        gone = now.select("g", F.col("q").alias("p"))
+        still = links.join(gone, ["g", "p"], "left_anti")
+        met = still.join(now.where("flag = 1").select("g", "q", "cluster"), ["g", "q"]).groupBy("g", "p").agg(F.min(F.struct((-F.col("sim")).alias("far"), "r", "cluster")).alias("met"))
+        free = materialize(free.join(gone, ["g", "p"], "left_anti").join(met, ["g", "p"], "left").select("g", "p", F.least("near", "met").alias("near")), "cluster-free")
+        links = materialize(still.join(now.select("g", "q"), ["g", "q"], "left_anti"), "cluster-links")
+    ids = made.select("g", "cluster").distinct().withColumn("id", F.row_number().over(order.orderBy("cluster")) - 1)
+    named = made.join(ids, ["g", "cluster"]).join(texts.select("g", F.col("p").alias("q"), "text"), ["g", "q"]).join(F.broadcast(groups), "g")
+    return named.select(F.col("group").cast(kind), F.col("id").cast("long").alias("cluster"), "text", "flag")
+
+
+def density_clusters(df: DataFrame, group: str, text: str, t: float = SIMILARITY, most: int = MAX_PAIRS) -> DataFrame:
     """Greedy clusters by number of neighbours within each group: group, cluster, text, flag (1 core, 0 edge).
 
     A text with the most neighbours opens a cluster with all its unassigned neighbours; one that has a core neighbour joins that cluster
-    with its neighbours as edge; edges draw in none. Null texts are left out, repeated ones count once."""
+    with its neighbours as edge; edges draw in none. Null texts are left out, repeated ones count once. A group of more than ``most`` rows
+    of pairs isn't given to one task but clustered in rounds, with the same outcome."""
     kind = df.schema[group].dataType.simpleString()
     rows = df.select(F.col(group).alias("group"), F.col(text).alias("a")).where("a is not null").distinct()
     pairs = similar_in_group(df, group, text, t)
     alone = rows.select("group", "a", F.lit(None).cast("string").alias("b"), F.lit(None).cast("double").alias("sim"))
-    return pairs.unionByName(alone).groupBy("group").applyInPandas(_greedy, f"group {kind}, cluster long, text string, flag int")
+    pairs = pairs.unionByName(alone)
+    large = materialize(pairs.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") > most).select(F.col("group").alias("_large")), "large-groups")
+    schema = f"group {kind}, cluster long, text string, flag int"
+    if not large.head(1):
+        return pairs.groupBy("group").applyInPandas(_greedy, schema)
+    same = F.col("group").eqNullSafe(F.col("_large"))
+    small = pairs.join(F.broadcast(large), same, "left_anti").groupBy("group").applyInPandas(_greedy, schema)
+    return small.unionByName(_rounds(pairs.join(F.broadcast(large), same, "left_semi"), kind))
 
 
 def cluster_weights(clusters: DataFrame, least: float = 0.0) -> DataFrame:

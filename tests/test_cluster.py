@@ -39,6 +39,25 @@ def test_density_clusters(spark):
     assert weights == {("g", 0): (3, 1.0), ("g", 1): (1, 0.0), ("h", 0): (1, 0.0)}
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_density_clusters_in_rounds(spark, seed):
+    rnd = random.Random(seed)
+    rows = [(None, "怎么安装手机"), (None, None), (7, "alone")]
+    for g in (None, 0, 1):
+        bases = ["".join(rnd.choice("abcdef") for _ in range(6)) for _ in range(8)]
+        rows += [(g, "".join(rnd.choice("abcdef") if rnd.random() < 0.2 else c for c in rnd.choice(bases))) for _ in range(60)]
+    df = spark.createDataFrame(rows, "g int, t string")
+    read = lambda most: sorted(map(tuple, cl.density_clusters(df, "g", "t", 0.66, most).collect()), key=repr)
+    want = read(cl.MAX_PAIRS)
+    assert read(50) == want and {f for *_, f in want} == {0, 1} and len(want) == len({r for r in rows if r[1]})
+
+
+def test_large_group_is_not_refused(spark, monkeypatch):
+    monkeypatch.setattr(cl, "MAX_GROUP", 0)  # what the bound of one task came from
+    df = spark.createDataFrame([("g", "aaaaaaaaaa"), ("g", "aaaaaaaaab")], "g string, t string")
+    assert cl.density_clusters(df, "g", "t", 0.85).count() == 2
+
+
 def test_canopy(spark):
     rows = [(1, "怎么安装手机", "怎么 安装 手机"), (2, "怎么安装手机呢", "怎么 安装 手机 呢"), (3, "退款多久到账", "退款 多久 到账"), (4, None, "x")]
     got = {r.text: r.cluster for r in cl.canopy(spark.createDataFrame(rows, "o int, q string, s string"), "q", "s", "o", 0.4, 0.4).collect()}
