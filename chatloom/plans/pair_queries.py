@@ -75,7 +75,7 @@ _BASE = "s as (select pair_id, yestques as a, recenques as b, string_split(coale
 _PAIR = f"{_BASE}, d as (select distinct a, b from s)"
 _Q = lambda f: lambda s, d: _scored(s, d).select("pair_id", f(F.col("yestques"), F.col("recenques"), F.split(F.coalesce("yestseg", F.lit("")), " "), F.split(F.coalesce("recenseg", F.lit("")), " ")).alias("out"))
 _add("edit_distance", _Q(lambda a, b, x, y: sm.edit_distance(a, b)), f"with {_PAIR}, e as (select a, b, ({_distance_sql('a', 'b')})::float as out from d) select pair_id, out from s join e using (a, b)")
-_add("edit_distance_expression", lambda s, d: table(s, d, "std_question").alias("l").crossJoin(F.broadcast(table(s, d, "std_question").where("std_id <= 8")).alias("r")).select(F.col("l.std_id").alias("a"), F.col("r.std_id").alias("b"), sm.edit_distance_expression(F.col("l.question"), F.col("r.question")).alias("out")),
+_add("edit_distance_expression", _Q(lambda a, b, x, y: sm.edit_distance_expression(a, b)),
      f"select l.std_id as a, r.std_id as b, ({_distance_sql('l.question', 'r.question')})::float as out from std_question l, (select * from std_question where std_id <= 8) r")
 _add("edit_sim", _Q(lambda a, b, x, y: F.round(sm.edit_sim(a, b), 7)), f"with {_PAIR}, e as (select a, b, round({_sim_sql('a', 'b')}, 7) as out from d) select pair_id, out from s join e using (a, b)")
 _add("edit_normalised", _Q(lambda a, b, x, y: F.round(sm.edit_normalised(a, b).cast("double"), 6)), f"with {_PAIR}, e as (select a, b, case when greatest(length(a), length(b)) > 0 then round((({_distance_sql('a', 'b')})::double / greatest(length(a), length(b)))::float::double, 6) end as out from d) select pair_id, out from s join e using (a, b)")

@@ -22,3 +22,10 @@ def test_vocabulary_beyond_500_terms(spark, tmp_path):
     assert len(weights) == sum(700 - 100 * n for n in range(7))
     for (doc, term), w in weights.items():
         assert w == pytest.approx(math.log(7 / (int(term[1:]) // 100 + 2)) / (700 - 100 * doc), abs=1e-9)
+
+
+def test_edit_distance_expression_over_given_pairs(spark, tmp_path):
+    pairs = [(i, f"怎么安装{'x' * (i % 4)}手机", "怎么安装手机呢", None, None) for i in range(20)] + [(20, None, "a", None, None), (21, "C的最", "G", "", ""), (22, "", "ab", "", "")]
+    sf = write(spark, tmp_path, "sim_cross", pairs, "pair_id long, yestques string, recenques string, yestseg string, recenseg string")
+    got = {r.pair_id: r.out for r in pq.QUERIES["edit_distance_expression"](spark, sf).collect()}
+    assert got == {r.pair_id: r.out for r in pq.QUERIES["edit_distance"](spark, sf).collect()} and set(got) == set(range(23)) - {20}
