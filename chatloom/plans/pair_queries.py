@@ -225,7 +225,7 @@ _VOC = """w as (select log_id, unnest(string_split_regex(segment, '[ \t\\x{3000}
 _add("vocabulary", lambda s, d: mi.vocabulary(_TOK(s, d), "t").withColumn("idf", F.round("idf", 9)), f"with {_VOC} select term, n, df, round(idf, 9) as idf from vo")
 _add("tfidf", lambda s, d: mi.tfidf(_TOK(s, d), "log_id", "t", mi.vocabulary(_TOK(s, d), "t")).withColumn("weight", F.round("weight", 9)), f"""with {_VOC}, k as (select log_id, term, count(*)::double as n from w where term <> '' group by 1, 2), l as (select log_id, sum(n) as length from k group by 1)
   select log_id as doc, term, round(k.n / length * coalesce(idf, 3.76::double), 9) as weight from k join l using (log_id) left join vo using (term)""")
-_add("filtered_tokens", lambda s, d: mi.filtered_tokens(table(s, d, "documents").where("lang = 'en'"), "text", ["the", "and", "you"], 1), """with w as (select unnest(string_split_regex(lower(text), '[^a-zA-Z0-9_]+')) as term from documents where lang = 'en')
+_add("filtered_tokens", lambda s, d: mi.filtered_tokens(table(s, d, "documents"), "text", ["the", "and", "you"], 1), """with w as (select unnest(string_split_regex(lower(text), '[^a-zA-Z0-9_]+')) as term from documents where lang = 'en')
   select term, count(*) as n from w where length(term) >= 2 and not regexp_matches(term, '[0-9]') and term not in ('the', 'and', 'you') group by 1 having count(*) > 1""")
 _STD = lambda s, d: table(s, d, "std_question").select("std_id", segment.tokenize(F.col("question"), "char").alias("t"))
 _CHARS = "regexp_extract_all(question, '[一-龥]|[a-zA-Z0-9]+')"

@@ -29,3 +29,9 @@ def test_edit_distance_expression_over_given_pairs(spark, tmp_path):
     sf = write(spark, tmp_path, "sim_cross", pairs, "pair_id long, yestques string, recenques string, yestseg string, recenseg string")
     got = {r.pair_id: r.out for r in pq.QUERIES["edit_distance_expression"](spark, sf).collect()}
     assert got == {r.pair_id: r.out for r in pq.QUERIES["edit_distance"](spark, sf).collect()} and set(got) == set(range(23)) - {20}
+
+
+def test_filtered_tokens_of_any_language(spark, tmp_path):
+    rows = [("Router reset the router", "en"), ("router manual, reset", None), ("manual x9 lonely", "zh"), ("of of", ""), (None, "en")]
+    sf = write(spark, tmp_path, "documents", rows, "text string, lang string")
+    assert {r.term: r.n for r in pq.QUERIES["filtered_tokens"](spark, sf).collect()} == {"router": 3, "reset": 2, "manual": 2, "of": 2}
