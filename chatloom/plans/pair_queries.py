@@ -237,7 +237,7 @@ _add("term_cosines", lambda s, d: pr.term_cosines(_STD(s, d), "std_id", "t").wit
 _add("vector_cosine", lambda s, d: table(s, d, "embeddings").join(F.broadcast(table(s, d, "embeddings").orderBy("vec_id").limit(1).select(F.col("embedding").alias("first")))).select("vec_id", F.round(pr.vector_cosine(F.col("embedding"), F.col("first")), 6).alias("cosine")),
      "select vec_id, round(list_cosine_similarity(embedding::double[], (select embedding from embeddings order by vec_id limit 1)::double[]), 6) as cosine from embeddings")
 _add("tokens_char", lambda s, d: _log(s, d).select("log_id", segment.tokenize(F.col("question"), "char").alias("tokens")), f"select log_id, {_CHARS} as tokens from robot_log")
-_add("tokens_bigram", lambda s, d: table(s, d, "std_question").select("std_id", segment.tokenize(F.col("question"), "cjk_bigram").alias("tokens")), "select std_id, flatten(list_transform(regexp_extract_all(question, '[一-龥]+|[a-zA-Z0-9]+'), lambda r: case when regexp_matches(r, '^[一-龥]{2,}') then list_transform(range(1, length(r)), lambda i: substr(r, i, 2)) else [r] end)) as tokens from std_question")
+_add("tokens_bigram", lambda s, d: _log(s, d).select("log_id", segment.tokenize(F.col("question"), "cjk_bigram").alias("tokens")), "select std_id, flatten(list_transform(regexp_extract_all(question, '[一-龥]+|[a-zA-Z0-9]+'), lambda r: case when regexp_matches(r, '^[一-龥]{2,}') then list_transform(range(1, length(r)), lambda i: substr(r, i, 2)) else [r] end)) as tokens from std_question")
 _add("tokens_dictionary", lambda s, d: _log(s, d).select("log_id", segment.dictionary_tokens(F.col("question"), DOMAIN, STOP).alias("tokens")))
 _add("describe_amounts", lambda s, d: mi.describe(table(s, d, "retail_action").withColumn("v", F.col("amt").try_cast("double")), "v", ["site_no"]).select("site_no", *[F.round(c, 6).alias(c) for c in ("mean", "median", "std", "variance", "least", "greatest")]),
      "select site_no, round(coalesce(avg(v), 0), 6) as mean, round(coalesce(median(v), 0), 6) as median, round(stddev_pop(v), 6) as std, round(var_pop(v), 6) as variance, min(v) as least, max(v) as greatest from (select site_no, try_cast(amt as double) as v from retail_action) group by 1")

@@ -35,3 +35,9 @@ def test_filtered_tokens_of_any_language(spark, tmp_path):
     rows = [("Router reset the router", "en"), ("router manual, reset", None), ("manual x9 lonely", "zh"), ("of of", ""), (None, "en")]
     sf = write(spark, tmp_path, "documents", rows, "text string, lang string")
     assert {r.term: r.n for r in pq.QUERIES["filtered_tokens"](spark, sf).collect()} == {"router": 3, "reset": 2, "manual": 2, "of": 2}
+
+
+def test_bigrams_of_the_log(spark, tmp_path):
+    sf = write(spark, tmp_path, "robot_log", [(1, "怎么安装 ab9"), (2, "手"), (3, None), (4, "")], "log_id long, question string")
+    got = {r.log_id: r.tokens for r in pq.QUERIES["tokens_bigram"](spark, sf).collect()}
+    assert got == {1: ["怎么", "么安", "安装", "ab9"], 2: ["手"], 3: None, 4: []}
