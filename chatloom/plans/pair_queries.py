@@ -75,8 +75,7 @@ _BASE = "s as (select pair_id, yestques as a, recenques as b, string_split(coale
 _PAIR = f"{_BASE}, d as (select distinct a, b from s)"
 _Q = lambda f: lambda s, d: _scored(s, d).select("pair_id", f(F.col("yestques"), F.col("recenques"), F.split(F.coalesce("yestseg", F.lit("")), " "), F.split(F.coalesce("recenseg", F.lit("")), " ")).alias("out"))
 _add("edit_distance", _Q(lambda a, b, x, y: sm.edit_distance(a, b)), f"with {_PAIR}, e as (select a, b, ({_distance_sql('a', 'b')})::float as out from d) select pair_id, out from s join e using (a, b)")
-_add("edit_distance_expression", _Q(lambda a, b, x, y: sm.edit_distance_expression(a, b)),
-     f"select l.std_id as a, r.std_id as b, ({_distance_sql('l.question', 'r.question')})::float as out from std_question l, (select * from std_question where std_id <= 8) r")
+_add("edit_distance_expression", _Q(lambda a, b, x, y: sm.edit_distance_expression(a, b)), SQL["edit_distance"])
 _add("edit_sim", _Q(lambda a, b, x, y: F.round(sm.edit_sim(a, b), 7)), f"with {_PAIR}, e as (select a, b, round({_sim_sql('a', 'b')}, 7) as out from d) select pair_id, out from s join e using (a, b)")
 _add("edit_normalised", _Q(lambda a, b, x, y: F.round(sm.edit_normalised(a, b).cast("double"), 6)), f"with {_PAIR}, e as (select a, b, case when greatest(length(a), length(b)) > 0 then round((({_distance_sql('a', 'b')})::double / greatest(length(a), length(b)))::float::double, 6) end as out from d) select pair_id, out from s join e using (a, b)")
 _add("edit_similar", _Q(lambda a, b, x, y: F.round(sm.edit_similar(a, b), 7)), f"with {_PAIR}, e as (select a, b, round({_sim_sql('a', 'b')} * {_factor_sql('a', 'b')}, 7) as out from d) select pair_id, out from s join e using (a, b)")
@@ -220,12 +219,12 @@ def _itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 _add("frequent_pairs", _itemsets, f"""with b as ({_BASKET}), u as (select row_number() over () as id, items from b), x as (select id, unnest(items) as i from u)
   select l.i as item_a, r.i as item_b, count(*) as freq from x l join x r on l.id = r.id and l.i < r.i group by 1, 2 having count(*) >= ceil(0.004 * (select count(*) from b))""")
 _TOK = lambda s, d: _log(s, d).where("segment is not null").select("log_id", F.split("segment", "[ \t　]+").alias("t"))
-_VOC = """w as (select log_id, unnest(string_split_regex(segment, '[ \t\\x{3000}]+')) as term from robot_log where segment is not null), c as (select term, count(*) as n, count(distinct log_id) as df from w where term <> '' group by 1),
-  vo as (select term, n, df, ln((select count(*) from robot_log where segment is not null)::double / (df + 1)) as idf from c order by n desc, term limit 500)"""
+_VOC = f"""w as (select log_id, unnest(string_split_regex(segment, '[ \t\\x{{3000}}]+')) as term from robot_log where segment is not null), c as (select term, count(*) as n, count(distinct log_id) as df from w where term <> '' group by 1),
+  vo as (select term, n, df, ln((select count(*) from robot_log where segment is not null)::double / (df + 1)) as idf from c order by n desc, term limit {mi.VOCABULARY})"""
 _add("vocabulary", lambda s, d: mi.vocabulary(_TOK(s, d), "t").withColumn("idf", F.round("idf", 9)), f"with {_VOC} select term, n, df, round(idf, 9) as idf from vo")
 _add("tfidf", lambda s, d: mi.tfidf(_TOK(s, d), "log_id", "t", mi.vocabulary(_TOK(s, d), "t")).withColumn("weight", F.round("weight", 9)), f"""with {_VOC}, k as (select log_id, term, count(*)::double as n from w where term <> '' group by 1, 2), l as (select log_id, sum(n) as length from k group by 1)
   select log_id as doc, term, round(k.n / length * coalesce(idf, 3.76::double), 9) as weight from k join l using (log_id) left join vo using (term)""")
-_add("filtered_tokens", lambda s, d: mi.filtered_tokens(table(s, d, "documents"), "text", ["the", "and", "you"], 1), """with w as (select unnest(string_split_regex(lower(text), '[^a-zA-Z0-9_]+')) as term from documents where lang = 'en')
+_add("filtered_tokens", lambda s, d: mi.filtered_tokens(table(s, d, "documents"), "text", ["the", "and", "you"], 1), """with w as (select unnest(string_split_regex(lower(text), '[^a-zA-Z0-9_]+')) as term from documents)
   select term, count(*) as n from w where length(term) >= 2 and not regexp_matches(term, '[0-9]') and term not in ('the', 'and', 'you') group by 1 having count(*) > 1""")
 _STD = lambda s, d: table(s, d, "std_question").select("std_id", segment.tokenize(F.col("question"), "char").alias("t"))
 _CHARS = "regexp_extract_all(question, '[一-龥]|[a-zA-Z0-9]+')"
@@ -237,7 +236,7 @@ _add("term_cosines", lambda s, d: pr.term_cosines(_STD(s, d), "std_id", "t").wit
 _add("vector_cosine", lambda s, d: table(s, d, "embeddings").join(F.broadcast(table(s, d, "embeddings").orderBy("vec_id").limit(1).select(F.col("embedding").alias("first")))).select("vec_id", F.round(pr.vector_cosine(F.col("embedding"), F.col("first")), 6).alias("cosine")),
      "select vec_id, round(list_cosine_similarity(embedding::double[], (select embedding from embeddings order by vec_id limit 1)::double[]), 6) as cosine from embeddings")
 _add("tokens_char", lambda s, d: _log(s, d).select("log_id", segment.tokenize(F.col("question"), "char").alias("tokens")), f"select log_id, {_CHARS} as tokens from robot_log")
-_add("tokens_bigram", lambda s, d: _log(s, d).select("log_id", segment.tokenize(F.col("question"), "cjk_bigram").alias("tokens")), "select std_id, flatten(list_transform(regexp_extract_all(question, '[一-龥]+|[a-zA-Z0-9]+'), lambda r: case when regexp_matches(r, '^[一-龥]{2,}') then list_transform(range(1, length(r)), lambda i: substr(r, i, 2)) else [r] end)) as tokens from std_question")
+_add("tokens_bigram", lambda s, d: _log(s, d).select("log_id", segment.tokenize(F.col("question"), "cjk_bigram").alias("tokens")), "select log_id, flatten(list_transform(regexp_extract_all(question, '[一-龥]+|[a-zA-Z0-9]+'), lambda r: case when regexp_matches(r, '^[一-龥]{2,}') then list_transform(range(1, length(r)), lambda i: substr(r, i, 2)) else [r] end)) as tokens from robot_log")
 _add("tokens_dictionary", lambda s, d: _log(s, d).select("log_id", segment.dictionary_tokens(F.col("question"), DOMAIN, STOP).alias("tokens")))
 _add("describe_amounts", lambda s, d: mi.describe(table(s, d, "retail_action").withColumn("v", F.col("amt").try_cast("double")), "v", ["site_no"]).select("site_no", *[F.round(c, 6).alias(c) for c in ("mean", "median", "std", "variance", "least", "greatest")]),
      "select site_no, round(coalesce(avg(v), 0), 6) as mean, round(coalesce(median(v), 0), 6) as median, round(stddev_pop(v), 6) as std, round(var_pop(v), 6) as variance, min(v) as least, max(v) as greatest from (select site_no, try_cast(amt as double) as v from retail_action) group by 1")
