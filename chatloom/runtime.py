@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -22,18 +23,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir as the cluster set it.
 
-    Only where neither the setting nor a checkpoint folder exists (tests on one machine) a temporary one is made."""
+    Where it is unset a temporary folder is made if all executors live in this process (tests); any other master needs the setting."""
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {sc.master} share")
         base = f"file://{tempfile.mkdtemp(prefix='chatloom-')}"
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base
     return base.rstrip("/")
 
 
+#: The folder of each application's scratch tables.
+_ROOTS: dict[tuple[str, str], str] = {}
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    """One folder for all scratch tables of the session, removed when the driver's JVM ends."""
+    key = (spark.sparkContext.applicationId, shared_folder(spark))
+    if key not in _ROOTS:
+        root = f"{key[1]}/chatloom-{uuid.uuid4().hex}"
+        fs, path = _file(spark, root)
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _ROOTS[key] = root
+    return _ROOTS[key]
+
+
+def _file(spark: SparkSession, uri: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_folder(spark)}/chatloom-{tag}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the session's scratch tables, once the results made from them are written; how many there were."""
+    fs, path = _file(spark, _scratch_root(spark))
+    held = fs.listStatus(path) if fs.exists(path) else []
+    return sum(bool(fs.delete(x.getPath(), True)) for x in held)
 
 
 def materialize(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> DataFrame:
