@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 DECIMAL = r"[0-9]+(.[0-9]*)?|.{1}[0-9]+"
 SENTENCE_CLASS = r"[^0-9a-zA-Z\\pP]"
 UNPARSED = "1970-01-01"
+NOW = "auto"
 TIME = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -81,12 +82,16 @@ def date_reformat(c: Column, source: str, target: str) -> Column:
 
 
 def get_date(c: Column, pattern: str = TIME) -> Column:
-    """The date, 1970-01-01 where the text can't be parsed (null included)."""
-    return F.coalesce(F.date_format(F.try_to_timestamp(c, F.lit(pattern)), "yyyy-MM-dd"), F.lit(UNPARSED))
+    """The date, 1970-01-01 where the text can't be parsed (null included); ``auto`` stands for now."""
+    return F.coalesce(F.date_format(_moment(c, pattern), "yyyy-MM-dd"), F.lit(UNPARSED))
 
 
 def get_time(c: Column, pattern: str = TIME) -> Column:
-    return F.coalesce(F.date_format(F.try_to_timestamp(c, F.lit(pattern)), TIME), F.lit(UNPARSED))
+    return F.coalesce(F.date_format(_moment(c, pattern), TIME), F.lit(UNPARSED))
+
+
+def _moment(c: Column, pattern: str) -> Column:
+    return F.when(c == NOW, F.current_timestamp()).otherwise(F.try_to_timestamp(c, F.lit(pattern)))
 
 
 def _millis(c: Column, pattern: str) -> Column:

@@ -144,11 +144,43 @@ def chat_level(question: Column, weight: Column) -> Column:
     return F.when(F.length(question) == 1, -1).when((level == -1) & (F.length(question) >= 7), 0).otherwise(level)
 
 
+def double_ratio(count: Column, total: Column) -> Column:
+    """Quotient of two numbers as a double; null where one is null, no number, or the total is 0."""
+    return F.try_divide(count.try_cast("double"), total.try_cast("double"))
+
+
 def describe(df: DataFrame, value: str, keys: list[str] | None = None) -> DataFrame:
-    """mean and median (0 without values), mode (ties: smallest), population deviation and variance, least and greatest."""
+    """mean and median (0 without values), mode (ties: smallest), population deviation and variance, least and greatest.
+
+    Values are counted first, spread by key and value, so that a hot key's rows meet in no task; the median is read off the running counts."""
+    by = keys or []
     v = F.col(value).cast("double")
-    rows = df.groupBy(*(keys or []))
-    return rows.agg(
-        F.coalesce(F.avg(v), F.lit(0.0)).alias("mean"), F.coalesce(F.percentile(v, 0.5), F.lit(0.0)).alias("median"), F.mode(v, True).alias("mode"),
-        F.stddev_pop(v).alias("std"), F.var_pop(v).alias("variance"), F.min(v).alias("least"), F.max(v).alias("greatest"),
+    if not by:
+        return describe(df.select(v.alias(value), F.lit(0).alias("_all")), value, ["_all"]).drop("_all") if df.head(1) else _empty(df)
+    n = df.groupBy(*by, v.alias("_v")).agg(F.count("*").alias("_n"))
+    here = W.partitionBy(*by)
+    known = F.when(F.col("_v").isNotNull(), F.col("_n"))
+    placed = n.withColumn("_before", F.sum(known).over(here.orderBy(F.col("_v").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1))).withColumn("_total", F.sum(known).over(here))
+    placed = placed.withColumn("_before", F.coalesce("_before", F.lit(0)))
+    holds = lambda place: F.max(F.when(F.col("_v").isNotNull() & (F.col("_before") <= place) & (place < F.col("_before") + F.col("_n")), F.col("_v")))
+    low, high = F.expr("(_total - 1) div 2"), F.expr("_total div 2")
+    mean = F.sum(F.col("_v") * F.col("_n")) / F.sum(known)
+    sums = placed.groupBy(*by).agg(
+        mean.alias("_mean"), ((holds(low) + holds(high)) / 2).alias("_median"), F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct("_n", (-F.col("_v")).alias("m")))).alias("mode"),
+        F.min("_v").alias("least"), F.max("_v").alias("greatest"),
     )
+    # The deviations from the mean, in a second pass over the counted values.
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in by]
+    spread = placed.alias("l").join(sums.alias("r"), same).groupBy(*[F.col(f"r.{k}").alias(k) for k in by]).agg(
+        (F.sum((F.col("_v") - F.col("_mean")) * (F.col("_v") - F.col("_mean")) * F.col("_n")) / F.sum(known)).alias("variance")
+    )
+    out = sums.alias("l").join(spread.alias("r"), same)
+    return out.select(
+        *[F.col(f"l.{k}") for k in by], F.coalesce("_mean", F.lit(0.0)).alias("mean"), F.coalesce("_median", F.lit(0.0)).alias("median"), "mode",
+        F.sqrt("variance").alias("std"), "variance", "least", "greatest",
+    )
+
+
+def _empty(df: DataFrame) -> DataFrame:
+    """The statistics of no values: one row."""
+    return df.sparkSession.range(1).selectExpr("0D as mean", "0D as median", *[f"cast(null as double) as {c}" for c in ("mode", "std", "variance", "least", "greatest")])

@@ -11,6 +11,8 @@ from chatloom.runtime import materialize
 # Neighbours, classes and the training cut.
 NEIGHBOURS, CLASSES = 11, 5
 LEAST_SAMPLES, SHARE = 20, 100
+#: Parts of the equally frequent values of a key that are cut apart.
+SALTS = 64
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
@@ -24,11 +26,19 @@ def ranked_with_size(df: DataFrame, keys: list[str], order: list[Column], n: int
 
 
 def samples_per_key(df: DataFrame, key: str, value: str, least: int = LEAST_SAMPLES, share: int = SHARE) -> DataFrame:
-    """The most frequent values of each key: ``least`` plus one for every ``share`` rows of the key."""
+    """The most frequent values of each key: ``least`` plus one for every ``share`` rows of the key. Ties: smaller value.
+
+    A key's values are first cut by their counts (how many values have each count tells where the cut lies), so that no task ranks all
+    values of a hot key: only values of the same count are ordered, and of those at the cut each salt keeps what the cut may need."""
     n = df.groupBy(key, value).agg(F.count("*").alias("n"))
-    total = F.sum("n").over(W.partitionBy(key))
-    place = F.row_number().over(W.partitionBy(key).orderBy(F.desc("n"), value))
-    return n.withColumn("total", total).withColumn("rank", place).where(F.col("rank") <= least + F.expr(f"total div {share}"))
+    levels = n.groupBy(key, "n").agg(F.count("*").alias("_m"))
+    here = W.partitionBy(key)
+    levels = levels.withColumn("total", F.sum(F.col("n") * F.col("_m")).over(here)).withColumn("_before", F.coalesce(F.sum("_m").over(here.orderBy(F.desc("n")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    cut = levels.withColumn("_need", F.lit(least) + F.expr(f"total div {share}") - F.col("_before")).where("_need > 0").select(F.col(key).alias("_key"), F.col("n").alias("_n"), "total", "_before", "_need")
+    kept = n.join(cut, F.col(key).eqNullSafe(F.col("_key")) & (F.col("n") == F.col("_n")))
+    salted = kept.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS))).withColumn("_place", F.row_number().over(W.partitionBy(key, "n", "_salt").orderBy(value))).where("_place <= _need")
+    placed = salted.withColumn("_place", F.row_number().over(W.partitionBy(key, "n").orderBy(value))).where("_place <= _need")
+    return placed.select(key, value, "n", "total", (F.col("_before") + F.col("_place")).cast("int").alias("rank"))
 
 
 def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
@@ -80,6 +90,15 @@ def merge_recommendations(parts: list[DataFrame], ids: DataFrame, classes: int =
     return best.join(ids.select(F.col("faq_name").alias("faq"), F.col("latest_id").alias("faq_id")), "faq", "left").withColumn("faq_id", F.coalesce("faq_id", F.lit("")))
 
 
+def unite_labels(lines: DataFrame, line: str, ids: DataFrame, classes: int = CLASSES, with_scores: bool = True) -> DataFrame:
+    """Classifiers' lines ``cluster TAB … TAB __label__faq p __label__faq p`` merged: the best FAQs of each cluster with rank, number and id.
+
+    Scores of a cluster's equal FAQs are summed; without ``with_scores`` each label counts 1."""
+    parts = F.split(F.col(line), "\t")
+    each = lines.select(F.get(parts, F.lit(0)).alias("question"), F.explode(parse_labels(F.element_at(parts, -1))).alias("p"))
+    return merge_recommendations([each.select("question", "p.faq", (F.col("p.score") if with_scores else F.lit(1.0)).alias("score"))], ids, classes, drop_known=False).withColumnRenamed("question", "cluster")
+
+
 def training_lines(samples: DataFrame, label: str, segment: str) -> DataFrame:
     """Lines ``__label__F TAB segment`` for a text classifier; blanks in a label become ``_sp_``."""
     return samples.select(F.concat(F.lit("__label__"), F.replace(F.col(label), F.lit(" "), F.lit("_sp_")), F.lit("\t"), F.col(segment)).alias("line"))

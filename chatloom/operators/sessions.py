@@ -16,6 +16,7 @@ ASKING_BACK = {"电脑反问": 0.9, "手机反问": 0.7, "打印机反问": 0.7}
 NOT_UNDERSTOOD = " 用户描述不清楚或机器人未理解"
 CHAT = (4, 8)
 KEPT_SESSIONS = 5
+HANDOFF_LEVELS = (40, 30, 20)
 
 
 def timeline(log: DataFrame) -> DataFrame:
@@ -94,6 +95,17 @@ def bucketed(value: Column, steps: list[tuple[int, int]], rest: int) -> Column:
     return out.otherwise(rest)
 
 
+def handoff_scores(distances: DataFrame, ref: str, levels: tuple[int, int, int] = HANDOFF_LEVELS) -> DataFrame:
+    """Weight of each question by its distances to hand-offs and the days up to ``ref``, with a level from 3 (heavy) to 0."""
+    near = F.when(F.col("distance") == 1, 20).otherwise(bucketed(F.col("distance"), [(4, 10), (10, 5)], 1))
+    late = bucketed(F.datediff(F.lit(ref).cast("date"), F.col("day")), [(0, 20), (3, 10), (7, 5)], 1)
+    score = distances.groupBy("question").agg(F.sum(near + late).alias("score"))
+    level = F.lit(0)
+    for k, least in enumerate(sorted(levels)):
+        level = F.when(F.col("score") >= least, k + 1).otherwise(level)
+    return score.withColumn("level", level)
+
+
 def type_counts_and_sessions(log: DataFrame, unclear: list[str], keep: int = KEPT_SESSIONS) -> DataFrame:
     """Rows of each question by answer type (1, 0, 11, other u) and its latest ``keep`` sessions by type: sessions are ordered by their
     first row's time (then by name), and the last ones come in that order."""

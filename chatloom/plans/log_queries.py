@@ -112,10 +112,9 @@ _DIST = f"""{_ref}, s as (select session_id, question, place, cast(substr(visit_
   p as (select s.session_id, s.question, s.place, s.day, min(abs(s.place - h.place)) as distance from s join w using (session_id, question) join s h on h.session_id = s.session_id and h.here group by all),
   dist as (select session_id, question, min(distance) as distance, arg_min(day, row(distance, place)) as day from p group by 1, 2)"""
 _add("handoff_distances", lambda s, d: se.handoff_distances(_log(s, d), HANDOFF), f"with {_DIST} select * from dist")
-_add(
-    "handoff_scores", lambda s, d: se.handoff_distances(_log(s, d), HANDOFF).groupBy("question").agg(F.sum(F.when(F.col("distance") == 1, 20).otherwise(se.bucketed(F.col("distance"), [(4, 10), (10, 5)], 1)) + se.bucketed(F.datediff(F.lit(REF).cast("date"), F.col("day")), [(0, 20), (3, 10), (7, 5)], 1)).alias("score")),
-    f"with {_DIST} select question, sum(case when distance = 1 then 20 when distance <= 4 then 10 when distance <= 10 then 5 else 1 end + case when date '{REF}' - day <= 0 then 20 when date '{REF}' - day <= 3 then 10 when date '{REF}' - day <= 7 then 5 else 1 end) as score from dist group by 1",
-)
+_SCORES = f"select question, sum(case when distance = 1 then 20 when distance <= 4 then 10 when distance <= 10 then 5 else 1 end + case when date '{REF}' - day <= 0 then 20 when date '{REF}' - day <= 3 then 10 when date '{REF}' - day <= 7 then 5 else 1 end) as score from dist group by 1"
+_LEVELED = f"select question, score, case when score >= 40 then 3 when score >= 30 then 2 when score >= 20 then 1 else 0 end as level from ({_SCORES})"
+_add("handoff_scores", lambda s, d: se.handoff_scores(se.handoff_distances(_log(s, d), HANDOFF), REF), f"with {_DIST} {_LEVELED}")
 _add("weak_answers", lambda s, d: _log(s, d).select("log_id", se.weak_answer().alias("weak")), f"select log_id, coalesce({_WEAK}, false) as weak from robot_log")
 _KINDS = f"""k as (select question, case when ({_type(False)}) in (1, 0, 11) then ({_type(False)})::varchar else 'u' end as kind, session_id, visit_time from robot_log where question is not null),
   g as (select question, kind, session_id, count(*) as n, min(visit_time) as since from k group by all),

@@ -65,8 +65,8 @@ def _jaccard_sql(x: str, y: str) -> str:
     return f"({common}::double / (len({x}) + len({y}) - {common}))"
 
 
-def _domain_sql(x: str, y: str) -> str:
-    words = "[" + ", ".join(f"'{w}'" for w in DOMAIN) + "]"
+def _domain_sql(x: str, y: str, domain: list[str] = DOMAIN) -> str:
+    words = "[" + ", ".join(f"'{w}'" for w in domain) + "]"
     total = lambda a: f"coalesce(list_sum(list_transform({a}, lambda v: case when list_contains({words}, v) then 3 else 1 end)), 0)"
     return f"({total(f'list_intersect({x}, {y})')}::double / {total(f'list_distinct(list_concat({x}, {y}))')})"
 
@@ -112,24 +112,32 @@ def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pr.similar_pairs(pr.candidate_pairs(yesterday, recent, domain=DOMAIN), DOMAIN)
 
 
-_SIM = f"""
-  l as (select question, trim(segment) as segment, cast(substr(visit_time, 1, 10) as date) as day from robot_log where answer_type in ('0', '11') and length(question) > 2 and segment is not null),
-  two as (select question as b, min(segment) as sb, {_MODEL.format('question')} as mb, {_MIXED.format('question')} as xb from l where day between date '{REF}' - 29 and date '{REF}' group by 1),
-  one as (select question as a, min(segment) as sa, {_MODEL.format('question')} as ma, {_MIXED.format('question')} as xa from l where day = date '{REF}' group by 1),
-  c as (select *, string_split(sa, ' ') as ta, string_split(sb, ' ') as tb from one, two where ma = mb and (xa = 'none' or xb = 'none' or xa = xb) and contains(sa, ' ')),
+def sims_sql(one: str, two: str, domain: list[str], high: float = 0.6, differ: bool = False) -> str:
+    """Tables up to ``sims`` (q1, q2, sim). one: SQL of a, sa; two: of b, sb."""
+    keys = lambda q, m, x: f"{_MODEL.format(q)} as {m}, {_MIXED.format(q)} as {x}"
+    return f"""
+  one as (select *, {keys('a', 'ma', 'xa')} from ({one}) where a is not null and sa is not null), two as (select *, {keys('b', 'mb', 'xb')} from ({two}) where b is not null and sb is not null),
+  c as (select *, string_split(sa, ' ') as ta, string_split(sb, ' ') as tb from one, two where ma = mb and (xa = 'none' or xb = 'none' or xa = xb) and contains(sa, ' ') and length(a) > 2{" and trim(a) <> trim(b)" if differ else ""}),
   d as (select distinct {_NB('a')} as a, {_NB('b')} as b from c), {_SHORT},
   e as (select a, b, {_sim_sql('a2', 'b2')} * {_factor_sql('a', 'b')} as s1 from p),
-  f as (select c.a as q1, c.b as q2, s1, {_domain_sql('ta', 'tb')} as s2 from c join e on e.a = {_NB('c.a')} and e.b = {_NB('c.b')}),
+  f as (select c.a as q1, c.b as q2, s1, {_domain_sql('ta', 'tb', domain)} as s2 from c join e on e.a = {_NB('c.a')} and e.b = {_NB('c.b')}),
   g as (select q1, q2, {_COMB} as sim from f),
-  sims as (select q1, q2, sim from g where sim > case when length(q1) < 5 then 0.6 when 2 * length(q1) < length(q2) or length(q1) > 2 * length(q2) then 0.8 else 0.5 end)"""
-_LINKS = f"{_SIM}, k as (select distinct q1, q2 from sims), n as (select q1, count(*) as n from k group by 1), dom as (select k.q1 as big, k.q2 as small from k join n x on x.q1 = k.q1 join n y on y.q1 = k.q2 where k.q1 <> k.q2 and x.n >= y.n)"
+  sims as (select q1, q2, sim from g where sim > case when length(q1) < 5 then {high} when 2 * length(q1) < length(q2) or length(q1) > 2 * length(q2) then 0.8 else 0.5 end)"""
+
+
+_LOGGED = "select question, trim(segment) as segment, cast(substr(visit_time, 1, 10) as date) as day from robot_log where answer_type in ('0', '11') and length(question) > 2 and segment is not null"
+_SIM = sims_sql(f"select question as a, min(segment) as sa from ({_LOGGED}) where day = date '{REF}' group by 1", f"select question as b, min(segment) as sb from ({_LOGGED}) where day between date '{REF}' - 29 and date '{REF}' group by 1", DOMAIN)
+_DOMINATED = "k as (select distinct q1, q2 from sims), n as (select q1, count(*) as n from k group by 1), dom as (select k.q1 as big, k.q2 as small from k join n x on x.q1 = k.q1 join n y on y.q1 = k.q2 where k.q1 <> k.q2 and x.n >= y.n)"
+_LINKS = f"{_SIM}, {_DOMINATED}"
 _rounded = lambda f: lambda s, d: f(s, d).withColumn("sim", F.round("sim", 7))
 _add("similar_pairs", _rounded(similar_pairs), f"with {_SIM} select q1, q2, round(sim, 7) as sim from sims")
 _add("drop_dominated", _rounded(lambda s, d: pr.drop_dominated(materialize(similar_pairs(s, d), "pairs"))), f"with {_LINKS} select q1, q2, round(sim, 7) as sim from sims where q1 not in (select small from dom)")
 _add("drop_dominated_one", _rounded(lambda s, d: pr.drop_dominated(materialize(similar_pairs(s, d), "pairs"), "one")),
      f"with {_LINKS}, m as (select big, small from dom x where big < small or not exists (select 1 from dom y where y.big = x.small and y.small = x.big)) select q1, q2, round(sim, 7) as sim from sims where q1 not in (select small from m)")
-_add("non_centres", lambda s, d: pr.non_centres(materialize(similar_pairs(s, d), "pairs"), _sides(s, d)[0]), f"""with {_SIM}, near as (select q1, q2 from sims where q2 in (select a from one))
-  select distinct q as question from (select q1 as q from near union all select q2 from near) where q not in (select q1 from near)""")
+# Of the pairs that are left when dominated questions have gone: with all pairs each question would be the centre of itself.
+_NEAR = """near as (select q1, q2 from sims where q1 not in (select small from dom) and q2 in (select a from one))"""
+_NON_CENTRES = "select distinct q as question from (select q1 as q from near union all select q2 from near) where q not in (select q1 from near)"
+_add("non_centres", lambda s, d: pr.non_centres(pr.drop_dominated(materialize(similar_pairs(s, d), "pairs")), _sides(s, d)[0]), f"with {_LINKS}, {_NEAR} {_NON_CENTRES}")
 
 
 def _answered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +159,8 @@ def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _SAMPLES = """sm as (select yestques as question, recenques as "similar", max(sim) as similarity from sim_cross where yestques <> '' and recenques <> '' and sim is not null and not isnan(sim) group by 1, 2),
   fq as (select question as "similar", max(faq_name) as faq from robot_log where faq_name <> '' and question is not null group by 1), sa as (select * from sm join fq using ("similar"))"""
-_VOTES = f"""{_SAMPLES}, nn as (select *, row_number() over (partition by question order by similarity desc, "similar", faq) as r from sa), vo as (select question, faq, count(*)::double as score from nn where r <= 11 group by 1, 2), kn as (select question, faq, score from (select *, row_number() over (partition by question order by score desc, faq) as r from vo) where r <= 5)"""
+_KN = """nn as (select *, row_number() over (partition by question order by similarity desc, "similar", faq) as r from sa), vo as (select question, faq, count(*)::double as score from nn where r <= 11 group by 1, 2), kn as (select question, faq, score from (select *, row_number() over (partition by question order by score desc, faq) as r from vo) where r <= 5)"""
+_VOTES = f"{_SAMPLES}, {_KN}"
 _add("knn_recommend", lambda s, d: ra.knn_recommend(_samples(s, d)), f"with {_VOTES} select * from kn")
 
 
@@ -171,10 +180,24 @@ _PARSED = "pa as (select question, list_sort(list_distinct(list(faq_name)))[:3]
 _add("parse_ranked_lines", _parsed, f"with {_PARSED} select question, faq, score from pl")
 _add("parse_labels", lambda s, d: _log(s, d).where("faq_name <> ''").select("log_id", F.concat(F.lit("__label__"), F.replace("faq_name", F.lit(" "), F.lit("_sp_")), F.lit(" 0.75 __label__other_sp_name 0.25")).alias("line")).select("log_id", F.explode(ra.parse_labels(F.col("line"))).alias("p")).select("log_id", "p.faq", "p.score"),
      "select log_id, faq_name as faq, 0.75::double as score from robot_log where faq_name <> '' union all select log_id, 'other name', 0.25::double from robot_log where faq_name <> ''")
-_add("merge_recommendations", lambda s, d: ra.merge_recommendations([ra.knn_recommend(_samples(s, d)), _parsed(s, d).where("score is not null")], un.faq_ids(_log(s, d))), f"""with {_VOTES}, {_PARSED}, al as (select question, faq, sum(score) as score from (select * from kn union all select * from pl) group by 1, 2),
+_MERGED = """al as (select question, faq, sum(score) as score from (select * from kn union all select * from pl) group by 1, 2),
   rk as (select *, row_number() over (partition by question order by score desc, faq) as rank from al), tp as (select *, count(*) over (partition by question) as size from rk where rank <= 5),
+  id as (select faq_name as faq, arg_max(faq_id, row(visit_time, log_id)) as latest from robot_log where trim(faq_name) <> '' group by 1),
+  mg as (select question, faq, score, rank, size, coalesce(latest, '') as faq_id from tp left join id using (faq) where question not in (select question from tp where trim(question) = trim(faq)))"""
+_add("merge_recommendations", lambda s, d: ra.merge_recommendations([ra.knn_recommend(_samples(s, d)), _parsed(s, d).where("score is not null")], un.faq_ids(_log(s, d))), f"with {_VOTES}, {_PARSED}, {_MERGED} select * from mg")
+
+
+def _united(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a classifier for the sessions as clusters, one for each row."""
+    made = F.concat(F.col("session_id"), F.lit("\tx\t__label__"), F.replace("faq_name", F.lit(" "), F.lit("_sp_")), F.lit(" 0.75 __label__other_sp_name 0.25"))
+    return ra.unite_labels(_log(spark, sf_dir).where("faq_name <> '' and session_id is not null").select(made.alias("line")), "line", un.faq_ids(_log(spark, sf_dir)))
+
+
+_add("unite_labels", _united, """with al as (select session_id as cluster, faq, sum(score) as score from (select session_id, faq_name as faq, 0.75::double as score from robot_log where faq_name <> '' and session_id is not null
+    union all select session_id, 'other name', 0.25::double from robot_log where faq_name <> '' and session_id is not null) group by 1, 2),
+  rk as (select *, row_number() over (partition by cluster order by score desc, faq) as rank from al), tp as (select *, count(*) over (partition by cluster) as size from rk where rank <= 5),
   id as (select faq_name as faq, arg_max(faq_id, row(visit_time, log_id)) as latest from robot_log where trim(faq_name) <> '' group by 1)
-  select question, faq, score, rank, size, coalesce(latest, '') as faq_id from tp left join id using (faq) where question not in (select question from tp where trim(question) = trim(faq))""")
+  select cluster, faq, score, rank, size, coalesce(latest, '') as faq_id from tp left join id using (faq)""")
 _add("samples_per_key", lambda s, d: ra.samples_per_key(_log(s, d).where("faq_name <> '' and question is not null"), "faq_name", "question"), """with n as (select faq_name, question, count(*) as n from robot_log where faq_name <> '' and question is not null group by 1, 2),
   r as (select *, sum(n) over (partition by faq_name)::bigint as total, row_number() over (partition by faq_name order by n desc, question) as rank from n) select * from r where rank <= 20 + total // 100""")
 _add("top_questions", lambda s, d: _log(s, d).where("question is not null").groupBy("question").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "question").limit(20), "select question, count(*) as n from robot_log where question is not null group by 1 order by 2 desc, 1 limit 20")
@@ -237,7 +260,23 @@ _add("vector_cosine", lambda s, d: table(s, d, "embeddings").join(F.broadcast(ta
      "select vec_id, round(list_cosine_similarity(embedding::double[], (select embedding from embeddings order by vec_id limit 1)::double[]), 6) as cosine from embeddings")
 _add("tokens_char", lambda s, d: _log(s, d).select("log_id", segment.tokenize(F.col("question"), "char").alias("tokens")), f"select log_id, {_CHARS} as tokens from robot_log")
 _add("tokens_bigram", lambda s, d: _log(s, d).select("log_id", segment.tokenize(F.col("question"), "cjk_bigram").alias("tokens")), "select log_id, flatten(list_transform(regexp_extract_all(question, '[一-龥]+|[a-zA-Z0-9]+'), lambda r: case when regexp_matches(r, '^[一-龥]{2,}') then list_transform(range(1, length(r)), lambda i: substr(r, i, 2)) else [r] end)) as tokens from robot_log")
-_add("tokens_dictionary", lambda s, d: _log(s, d).select("log_id", segment.dictionary_tokens(F.col("question"), DOMAIN, STOP).alias("tokens")))
+_INK = r"[^\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_MATCH = f"regexp_extract_all(question, '{'|'.join(sorted(DOMAIN, key=lambda w: (-len(w), w)))}|{_INK}')"
+_LISTED = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+NATURES = {w: "v" if w == "怎么办" else "n" for w in DOMAIN}
+_NATURE = f"case when t = '怎么办' then 'v' when list_contains({_LISTED(DOMAIN)}, t) then 'n' else 'x' end"
+_terms = lambda: segment.dictionary_terms(F.col("question"), NATURES, "x")
+_add("tokens_dictionary", lambda s, d: _log(s, d).select("log_id", segment.dictionary_tokens(F.col("question"), DOMAIN, STOP).alias("tokens")), f"select log_id, list_filter({_MATCH}, lambda t: not list_contains({_LISTED(STOP)}, t)) as tokens from robot_log")
+_add("terms_with_natures", lambda s, d: _log(s, d).select("log_id", segment.with_natures(segment.without(_terms(), STOP)).alias("terms")), f"select log_id, array_to_string(list_transform(list_filter({_MATCH}, lambda t: not list_contains({_LISTED(STOP)}, t)), lambda t: t || '/' || {_NATURE}), ' ') as terms from robot_log")
+_add("terms_without_natures", lambda s, d: _log(s, d).select("log_id", segment.words_of(segment.without(_terms(), stop_natures=["x", "v"])).alias("tokens")), f"select log_id, list_filter({_MATCH}, lambda t: list_contains({_LISTED([w for w in DOMAIN if w != '怎么办'])}, t)) as tokens from robot_log")
+_plug = lambda f: segment.plugged_terms(F.col("question"), lambda: lambda t: [(w, str(len(w))) for w in t.split(" ") if w != ""]) if f else segment.plugged_tokens(F.col("question"), lambda: lambda t: [w for w in t.split(" ") if w != ""])
+_BLANKS = "list_filter(string_split(question, ' '), lambda t: t <> '')"
+_add("terms_plugged", lambda s, d: _log(s, d).select("log_id", segment.with_natures(_plug(True), "|").alias("terms")), f"select log_id, array_to_string(list_transform({_BLANKS}, lambda t: t || '/' || length(t)), '|') as terms from robot_log")
+_add("tokens_plugged", lambda s, d: _log(s, d).select("log_id", _plug(False).alias("tokens")), f"select log_id, {_BLANKS} as tokens from robot_log")
+_FIRST = ["的", "我", "了", "的"]
+_add("tokens_first_stop_words", lambda s, d: _log(s, d).select("log_id", segment.only_chinese(segment.drop_first(segment.tokenize(F.col("question"), "char"), _FIRST)).alias("tokens")),
+     f"select log_id, list_filter(list_reduce({_LISTED(_FIRST)}, lambda acc, w: case when list_contains(acc, w) then list_concat(acc[:list_position(acc, w) - 1], acc[list_position(acc, w) + 1:]) else acc end, {_CHARS}), lambda t: regexp_matches(t, '[一-龥]')) as tokens from robot_log")
+_add("ratios", lambda s, d: table(s, d, "retail_action").select("uid", F.round(mi.double_ratio(F.col("amt"), F.col("qty")), 9).alias("ratio")), "select uid, round(try_cast(amt as double) / nullif(try_cast(qty as double), 0), 9) as ratio from retail_action")
 _add("describe_amounts", lambda s, d: mi.describe(table(s, d, "retail_action").withColumn("v", F.col("amt").try_cast("double")), "v", ["site_no"]).select("site_no", *[F.round(c, 6).alias(c) for c in ("mean", "median", "std", "variance", "least", "greatest")]),
      "select site_no, round(coalesce(avg(v), 0), 6) as mean, round(coalesce(median(v), 0), 6) as median, round(stddev_pop(v), 6) as std, round(var_pop(v), 6) as variance, min(v) as least, max(v) as greatest from (select site_no, try_cast(amt as double) as v from retail_action) group by 1")
 _add("mode_quantity", lambda s, d: mi.describe(table(s, d, "retail_action").withColumn("v", F.col("qty").try_cast("double")), "v", ["site_no"]).select("site_no", "mode"), """with n as (select site_no, try_cast(qty as double) as v, count(*) as n from retail_action where try_cast(qty as double) is not null group by 1, 2)
@@ -268,18 +307,25 @@ def _dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mi.dialogue_pairs(_chat(spark, sf_dir), DOMAIN, gone, answer_ratio=0.5, service_words=["人工"])
 
 
-_HIT = "(" + " or ".join(f"(contains(u, '{w}') and u <> '{w}')" for w in DOMAIN) + ")"
 _RATIO = r"coalesce(case when length({0}) > 0 then length(regexp_replace({0}, '[^\p{{L}}]|[a-zA-Z]', '', 'g'))::double / length({0}) end >= {1}, false)"
 _URL = clean.URL.replace("'", "''")
-_add("dialogue_pairs", _dialogues, f"""with r as (select * from robot_log where question is not null and answer is not null),
+
+
+def dialogues_sql(words: list[str], gone: list[str], ratio: float, service: list[str]) -> str:
+    hit = "(" + " or ".join(f"(contains(u, '{w}') and u <> '{w}')" for w in words) + ")"
+    said = "".join(f" and not contains(answer, '{w}')" for w in service)
+    return f"""with r as (select * from robot_log where question is not null and answer is not null),
   c as (select session_id as dialogue, '100' as speaker, question as text, visit_time, log_id from r union all select session_id, '200', answer, visit_time, log_id from r),
   p as (select *, row_number() over (partition by dialogue order by visit_time, log_id, speaker) - 1 as place, regexp_replace(text, '{_URL}', '', 'g') as u from c),
-  q as (select dialogue, text as question, place from p where speaker = '100' and {_RATIO.format('u', 0.3)} and {_HIT} and length(text) >= 4),
+  q as (select dialogue, text as question, place from p where speaker = '100' and {_RATIO.format('u', 0.3)} and {hit} and length(text) >= 4),
   j as (select q.dialogue, question, a.text as answer, a.place - q.place as gap, a.place as answered from q join p a on a.dialogue = q.dialogue and a.speaker = '200' and a.place > q.place),
   k as (select *, row_number() over (partition by dialogue, question order by gap, answered, answer) as rank from j)
   select distinct * from (select case when length(regexp_replace(question, '{_URL}', '', 'g')) > 200 then substr(regexp_replace(question, '{_URL}', '', 'g'), 1, 199) else regexp_replace(question, '{_URL}', '', 'g') end as question, answer from k
-    where rank <= 3 and length(replace(answer, ' ', '')) >= 7 and {_RATIO.format('trim(answer)', 0.5)} and not regexp_matches(trim(answer), '(\\?|吗|？|呢|么)$') and not contains(answer, '人工'))
-  where question not in ('转人工', '蓝牙失败怎么办')""")
+    where rank <= 3 and length(replace(answer, ' ', '')) >= 7 and {_RATIO.format('trim(answer)', ratio)} and not regexp_matches(trim(answer), '(\\?|吗|？|呢|么)$'){said})
+  where question not in ({', '.join(f"'{x}'" for x in gone)})"""
+
+
+_add("dialogue_pairs", _dialogues, dialogues_sql(DOMAIN, ["转人工", "蓝牙失败怎么办"], 0.5, ["人工"]))
 
 
 def _tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,9 +60,14 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{_scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+#: How often scratch tables were removed: results kept from before are no longer readable.
+_RELEASED = [0]
+
+
 def release(spark: SparkSession) -> int:
     """Remove the session's scratch tables, once the results made from them are written; how many there were."""
     fs, path = _file(spark, _scratch_root(spark))
+    _RELEASED[0] += 1
     held = fs.listStatus(path) if fs.exists(path) else []
     return sum(bool(fs.delete(x.getPath(), True)) for x in held)
 
