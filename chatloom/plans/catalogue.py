@@ -13,6 +13,7 @@ MODULES = [
     "chatloom.plans.log_queries",
     "chatloom.plans.pair_queries",
     "chatloom.plans.job_queries",
+    "chatloom.plans.source_queries",
 ]
 
 

@@ -210,10 +210,15 @@ _add("rank_in_group", lambda s, d: ra.ranked_with_size(table(s, d, "sim_cross").
 
 
 def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predicted classes of all segmented questions, by a regression fitted on them: whether a question was answered."""
+    """Rows by predicted class of all segmented questions, by a regression fitted on them: whether a question was answered. The classes
+    depend on the fit; their counts add up to the rows."""
     rows = _log(spark, sf_dir).where("segment is not null").select("segment", (~F.col("answer_type").isin("0", "11")).cast("double").alias("label")).where("label is not null")
-    made = mi.hashed_features(rows, "segment", STOP, 1 << 10)
-    return mi.logistic_predict(made, made, "label").groupBy("prediction").agg(F.count("*").alias("n"))
+    made = mi.hashed_features(rows, "segment", STOP)
+    counts = mi.logistic_predict(made, made, "label").groupBy("prediction").agg(F.count("*").alias("n"))
+    return counts.agg(F.sum("n").alias("n_rows"), F.bool_and(F.col("prediction").isin(0.0, 1.0)).alias("known"))
+
+
+_add("class_counts", _classified, "select count(*) as n_rows, true as known from robot_log where segment is not null and answer_type is not null")
 
 
 # --- Clustering and mining -------------------------------------------------------------------------------------------------------------
@@ -222,15 +227,56 @@ def _groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cl.density_clusters(_groups(spark, sf_dir), "faq_name", "question", 0.8)
+    """What holds for the clusters of every FAQ's questions whatever the order they were made in: all texts are there, none twice, no cluster
+    lacks a core, and no text of a cluster is without a similar one in it."""
+    rows = _groups(spark, sf_dir)
+    of = materialize(cl.density_clusters(rows, "faq_name", "question", 0.8), "density")
+    cores = of.groupBy("group", "cluster").agg(F.max("flag").alias("core"), F.count("*").alias("size"))
+    near = of.select("group", "cluster", F.col("text").alias("a")).join(of.select("group", "cluster", F.col("text").alias("b")), ["group", "cluster"]).where("a <> b")
+    near = near.where(sm.edit_similar(F.col("a"), F.col("b")) >= 0.8 - 1e-7).groupBy("group", "cluster", "a").agg(F.lit(1).alias("near"))
+    told = of.join(cores, ["group", "cluster"]).join(near.withColumnRenamed("a", "text"), ["group", "cluster", "text"], "left")
+    return told.groupBy("group").agg(
+        F.count_distinct("text").alias("n_texts"), F.count("*").alias("n_rows"), F.count_if(F.col("core") == 0).alias("n_without_core"), F.count_if((F.col("size") > 1) & F.col("near").isNull()).alias("n_apart")
+    )
+
+
+_GROUPED = "(select distinct faq_name as \"group\", question as x from robot_log where faq_name <> '' and question <> '')"
+_add("density_clusters", density, f'select "group", count(*) as n_texts, count(*) as n_rows, 0 as n_without_core, 0 as n_apart from {_GROUPED} group by 1')
+_FIXED = lambda s, d: _log(s, d).where("question is not null").select(F.col("platform").alias("group"), F.col("answer_type").alias("cluster"), F.col("question").alias("text")).distinct()
+_add("cluster_weights", lambda s, d: cl.cluster_weights(_FIXED(s, d), 0.01).withColumn("weight", F.round("weight", 9)), """with n as (select platform as "group", answer_type as cluster, count(distinct question) as size from robot_log where question is not null group by 1, 2)
+  select * from (select *, round((size - 1)::double / ((select max(size) from n) - 1), 9) as weight from n) where weight >= 0.01""")
+_add("cluster_ids", lambda s, d: _FIXED(s, d).select("text", cl.cluster_id("group", "cluster").alias("id")), "select distinct question as text, sha256(concat_ws('|', platform, answer_type)) as id from robot_log where question is not null group by question, platform, answer_type")
+_add("rarest_terms", lambda s, d: cl.rarest_terms(_FIXED(s, d).withColumn("tokens", segment.tokenize(F.col("text"), "char")), "tokens"), """with t as (select distinct platform as "group", answer_type as cluster, question as text from robot_log where question is not null),
+  w as (select distinct "group", cluster, text, unnest(regexp_extract_all(text, '[一-龥]|[a-zA-Z0-9]+')) as term from t), n as (select *, count(*) over (partition by "group", cluster, term) as n from w where term <> '')
+  select "group", cluster, text, arg_max(term, row(-n, term)) as term from n group by 1, 2, 3""")
+_add("canopy", lambda s, d: cl.canopy(table(s, d, "std_question").withColumn("seg", F.array_join(segment.tokenize(F.col("question"), "char"), " ")), "question", "seg", "std_id", 0.6, 0.5))
+# Each costly character of one text that the other lacks is an edit: such pairs go before the distance is worked out.
+_SIMILAR = f"""with g as (select *, list_distinct(string_split(regexp_replace(x, '[{sm.FREE}]', '', 'g'), '')) as cs, length(regexp_replace(x, '[{sm.FREE}]', '', 'g')) as m from {_GROUPED}),
+  c as (select l."group", l.x as a, r.x as b from g l join g r on l."group" = r."group" and l.x < r.x and 5 * abs(l.m - r.m) <= greatest(length(l.x), length(r.x))
+    where 5 * len(list_filter(l.cs, lambda k: not contains(r.x, k))) <= greatest(length(l.x), length(r.x)) and 5 * len(list_filter(r.cs, lambda k: not contains(l.x, k))) <= greatest(length(l.x), length(r.x))),
+  s as (select *, round({_sim_sql('a', 'b')} * {_factor_sql('a', 'b')}, 7) as sim from c), k as (select * from s where sim >= 0.8) select "group", a, b, sim from k union all select "group", b, a, sim from k"""
+_add("similar_in_group", lambda s, d: cl.similar_in_group(_groups(s, d), "faq_name", "question", 0.8).withColumn("sim", F.round("sim", 7)), _SIMILAR)
+
+
+def _kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All distinct segments in their groups: how many there are, and how many of them in a group beyond the asked number."""
+    rows = _log(spark, sf_dir).where("segment is not null").groupBy("segment").agg(F.min("log_id").alias("log_id")).withColumn("tokens", F.split("segment", " "))
+    made = cl.kmeans_groups(rows, "tokens")
+    sizes = made.groupBy("group").agg(F.count("*").alias("n"))
+    return sizes.agg(F.sum("n").alias("n_texts"), (F.max("group") < F.greatest(F.sum("n") / cl.GROUP_LENGTH, F.lit(1))).alias("inside"))
+
+
+_add("kmeans_groups", _kmeans, "select count(distinct segment) as n_texts, true as inside from robot_log where segment is not null")
+_add("word_vectors", lambda s, d: _vectors(s, d),
+     """select term as word from (select unnest(string_split_regex(segment, '[ \t　]+')) as term from robot_log where segment is not null) group by 1 having count(*) >= 5""")
+
+
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of a Word2Vec model over all segments: those that come often enough (the vectors depend on the fit)."""
+    model = mi.word_vectors(_log(spark, sf_dir).where("segment is not null").select(F.split("segment", "[ \t　]+").alias("t")), "t")
+    return model.getVectors().select("word")
 
 
-_add("density_clusters", density)
-_add("cluster_weights", lambda s, d: cl.cluster_weights(density(s, d)))
-_add("canopy", lambda s, d: cl.canopy(table(s, d, "std_question").withColumn("seg", F.array_join(segment.tokenize(F.col("question"), "char"), " ")), "question", "seg", "std_id", 0.6, 0.5))
-_add("similar_in_group", lambda s, d: cl.similar_in_group(_groups(s, d), "faq_name", "question", 0.8).withColumn("sim", F.round("sim", 7)))
-_add("kmeans_groups", lambda s, d: cl.kmeans_groups(_log(s, d).where("segment is not null").groupBy("segment").agg(F.min("log_id").alias("log_id")).withColumn("tokens", F.split("segment", " ")), "tokens", 400, features=1 << 14).groupBy("group").agg(F.count("*").alias("n")))
-_add("class_counts", lambda s, d: _classified(s, d))
 _BASKET = "select pno, vipno, list_distinct(list(trim(prodno))) as items from retail_action where pno <> '' and trim(prodno) <> '' group by 1, 2"
 
 
