@@ -1,7 +1,7 @@
 """Problem 2: per-key results when a few keys hold most rows.
 
 Multi-level tree aggregation: rows are combined in fixed-size chunks of the input where they lie, and the partial states are merged in
-rounds of fan-in ``FAN_IN``; no reducer ever receives all rows or all partials of a key.
+rounds of fan-in ``FAN_IN``, as many as the counted chunks ask for; no reducer ever receives all rows or all partials of a key.
 """
 
 from __future__ import annotations
@@ -11,21 +11,41 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.runtime import table
+from chatloom.runtime import materialize, table
 
 #: Input rows combined into one state per key before anything is exchanged.
 CHUNK_ROWS = 1 << 16
 #: States of a key merged by one task in a round.
 FAN_IN = 16
-#: Buckets over which the distinct values of one key are spread.
-DISTINCT_BUCKETS = 4096
 
 
-def _rounds(states: DataFrame, keys: list[str], chunks: int, merge: list) -> DataFrame:
-    """Merge (key, chunk) states with logarithmic fan-in until one chunk is left."""
-    for _ in range(max(1, math.ceil(math.log(max(chunks, 2), FAN_IN)))):
-        states = states.groupBy(*keys, F.floor(F.col("_chunk") / FAN_IN).cast("long").alias("_chunk")).agg(*merge)
-    return states.groupBy(*keys).agg(*merge)
+def rounds(chunks: int) -> int:
+    """Rounds after which at most ``FAN_IN`` states of a key are left."""
+    return max(0, math.ceil(math.log(max(chunks, 1), FAN_IN) - 1e-9) - 1)
+
+
+def _merged(states: DataFrame, chunks: int, merge: list) -> DataFrame:
+    """The states of (_key, _chunk), chunk numbers below ``chunks``, merged by neighbouring chunks down to one for each key."""
+    for _ in range(rounds(chunks)):
+        states = states.groupBy("_key", F.expr(f"_chunk div {FAN_IN}").alias("_chunk")).agg(*merge)
+    return states.groupBy("_key").agg(*merge)
+
+
+def _states(df: DataFrame, key: str, latest: list[str] | None = None, keep: list[str] | None = None) -> tuple[DataFrame, int, list]:
+    """Level 0, written: one state per key and chunk; how many chunk numbers there are; the aggregates that merge states."""
+    src = df.select(F.col(key).alias("_key"), *([F.struct(*latest, *(keep or [])).alias("_latest")] if latest else []))
+    # The identifier holds the partition in its upper bits and the row's place in it in its lower 33.
+    place = F.monotonically_increasing_id()
+    parts = [F.shiftright(place, 33).alias("_part"), F.expr("_place div " + str(CHUNK_ROWS)).alias("_nth")]
+    numbered = src.withColumn("_place", place.bitwiseAND(F.lit((1 << 33) - 1))).select("*", *parts)
+    level = numbered.groupBy("_key", "_part", "_nth").agg(F.count("*").alias("n_rows"), *([F.max("_latest").alias("latest")] if latest else []))
+    level = materialize(level, "p2-states")
+    last = level.agg(F.max("_part").alias("part"), F.max("_nth").alias("nth")).first()
+    # Chunks of a partition follow one another, and each partition takes a power of the fan-in, so that neighbours meet first.
+    width = 1 if last.nth is None else FAN_IN ** math.ceil(math.log(last.nth + 1, FAN_IN) - 1e-9)
+    merge = [F.sum("n_rows").alias("n_rows"), *([F.max("latest").alias("latest")] if latest else [])]
+    dense = level.withColumn("_chunk", F.col("_part") * F.lit(width) + F.col("_nth")).drop("_part", "_nth")
+    return dense, width * ((last.part or 0) + 1), merge
 
 
 def per_key(df: DataFrame, key: str, distinct: str | None = None, latest: list[str] | None = None, keep: list[str] | None = None) -> DataFrame:
@@ -38,19 +58,14 @@ def per_key(df: DataFrame, key: str, distinct: str | None = None, latest: list[s
 
     Level 0 runs within each chunk of ``CHUNK_ROWS`` input rows as Spark's partial aggregation; the chunk number is part of the key, so that
     one key's rows spread over as many reducers as it has chunks. Distinct values are first made distinct by (key, value), where a hot key
-    is spread by its values, and then counted through the same tree over hash buckets."""
-    src = df.select(F.col(key).alias("_key"), *([F.col(distinct).alias("_value")] if distinct else []), *([F.struct(*latest, *(keep or [])).alias("_latest")] if latest else []))
-    # The identifier holds the partition in its upper bits and the row's place in it in its lower 33.
-    place = F.monotonically_increasing_id()
-    numbered = src.withColumn("_chunk", F.shiftright(place, 33) * F.lit(1 << 17) + F.shiftright(place.bitwiseAND(F.lit((1 << 33) - 1)), int(math.log2(CHUNK_ROWS))))
-    # Chunk numbers are sparse; made dense modulo a power of the fan-in, so that the number of rounds is known when planning.
-    spread = FAN_IN**3
-    states = numbered.groupBy("_key", F.pmod(F.xxhash64("_chunk"), F.lit(spread)).alias("_chunk")).agg(F.count("*").alias("n_rows"), *([F.max("_latest").alias("latest")] if latest else []))
-    out = _rounds(states, ["_key"], spread, [F.sum("n_rows").alias("n_rows"), *([F.max("latest").alias("latest")] if latest else [])])
+    is spread by its values; each of the tasks that holds them counts its own, and the counts go through the same tree."""
+    out = _merged(*_states(df, key, latest, keep))
     if distinct:
+        src = df.select(F.col(key).alias("_key"), F.col(distinct).alias("_value"))
         values = src.where("_value is not null").groupBy("_key", "_value").agg(F.lit(1).alias("_one"))
-        buckets = values.groupBy("_key", F.pmod(F.xxhash64("_value"), F.lit(DISTINCT_BUCKETS)).alias("_chunk")).agg(F.count("*").alias("n_distinct"))
-        counted = _rounds(buckets, ["_key"], DISTINCT_BUCKETS, [F.sum("n_distinct").alias("n_distinct")]).withColumnRenamed("_key", "_other")
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # what the distinct step's tasks are at most
+        counts = values.groupBy("_key", F.spark_partition_id().cast("long").alias("_chunk")).agg(F.count("*").alias("n_distinct"))
+        counted = _merged(counts, parts, [F.sum("n_distinct").alias("n_distinct")]).withColumnRenamed("_key", "_other")
         out = out.join(counted, F.col("_key").eqNullSafe(F.col("_other")), "left").withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0).cast("long"))).drop("_other")
     return out.select(F.col("_key").alias(key), "n_rows", *(["n_distinct"] if distinct else []), *(["latest"] if latest else []))
 
@@ -58,10 +73,11 @@ def per_key(df: DataFrame, key: str, distinct: str | None = None, latest: list[s
 def heavy_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
     """Keys that hold at least one in ``parts`` of all rows: null and empty keys count in the total and are no result.
 
-    Columns: ``key``, ``n_rows``. Empty input gives no rows."""
-    counts = per_key(df, key)
-    total = F.broadcast(counts.agg(F.sum("n_rows").alias("_total")))  # an aggregate without keys: one row
-    return counts.join(total).where((F.col(key) != "") & (F.col("n_rows") * parts >= F.col("_total"))).drop("_total")
+    Columns: ``key``, ``n_rows``. Empty input gives no rows. The input is read once: the total is that of the written states."""
+    states, chunks, merge = _states(df, key)
+    total = states.agg(F.sum("n_rows")).first()[0] or 0
+    counts = _merged(states, chunks, merge).where((F.col("_key") != "") & (F.col("n_rows") * parts >= total))
+    return counts.select(F.col("_key").alias(key), "n_rows")
 
 
 def p2_faq(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from chatloom.operators import tree_aggregate as ta
 
@@ -30,6 +31,19 @@ def test_heavy_keys(spark):
     assert ta.per_key(df.limit(0), "k").collect() == []
 
 
-def test_no_reducer_receives_a_hot_key_whole(spark):
-    plan = ta.per_key(spark.range(10).selectExpr("cast(id % 2 as string) as k", "id"), "k")._jdf.queryExecution().toString()
-    assert "_chunk" in plan and plan.count("Exchange hashpartitioning(_key") >= 4
+def test_rounds_follow_the_chunks():
+    assert [ta.rounds(n) for n in (0, 1, 16, 17, 256, 257, 4096, 10**7)] == [0, 0, 0, 1, 1, 2, 2, 5]
+
+
+def test_no_reducer_receives_a_hot_key_whole(spark, monkeypatch):
+    monkeypatch.setattr(ta, "CHUNK_ROWS", 4)
+    states, chunks, merge = ta._states(spark.range(0, 4000, 1, 2).selectExpr("'hot' as k"), "k")
+    assert states.count() == 1000 and chunks == 2 * 16**3  # 500 chunks in each of two partitions
+    seen = []
+    for _ in range(ta.rounds(chunks)):
+        merged = states.groupBy("_key", F.expr(f"_chunk div {ta.FAN_IN}").alias("_chunk"))
+        seen.append(merged.count().agg(F.max("count")).first()[0])
+        states = merged.agg(*merge)
+    assert max(seen) <= ta.FAN_IN and states.count() <= ta.FAN_IN
+    plan = ta.per_key(spark.range(0, 4000, 1, 2).selectExpr("'hot' as k", "id"), "k")._jdf.queryExecution().toString()
+    assert "_chunk" in plan and plan.count("Exchange hashpartitioning(_key") == ta.rounds(chunks) + 1
