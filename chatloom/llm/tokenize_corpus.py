@@ -1,8 +1,9 @@
 """Problem 8: encoding of the whole corpus with a public byte-level BPE vocabulary.
 
 Tree concatenation: a long text is cut in blocks that are encoded in parallel by different tasks; a long run that the word pattern leaves
-unsplit is halved down to short pieces, whose encodings are joined pairwise: at each join a window of tokens is encoded again and grown
-until its outermost tokens on both sides come out as they were.
+unsplit is cut likewise, and within a task halved down to short pieces. The encodings of the parts of one run are joined pairwise, rounds of
+neighbours after one another: at each join a window of tokens is encoded again and grown until its outermost tokens on both sides come out
+as they were.
 
 Why that is exact: byte-level BPE takes a sequence of tokens as the encoding of its bytes if and only if each two neighbours, put together,
 encode to just those two. Inside the two halves that holds; inside the window too; and where the window's outermost tokens are the old ones,
@@ -112,60 +113,155 @@ def _safe(text: str, at: int) -> bool:
     return a in ("L", "N") and b not in ("", a)
 
 
-def blocks(text: str, size: int) -> list[str]:
-    """Cut a long text at certain word borders, in blocks of about ``size`` characters; where there is none for another ``size``
-    characters the block grows on (an unsplit run stays whole, for its halves are joined within its task)."""
+#: What a block is: a text of its own, the end of a run that the blocks before it began, or a part of a run that goes on.
+WHOLE, LAST, GOES_ON = 0, 1, 2
+
+
+def blocks(text: str, size: int) -> list[tuple[str, int]]:
+    """Cut a long text in blocks of about ``size`` characters, each with its kind. Cuts are at certain word borders; where there is none for
+    another ``size`` characters, the stretch between the two certain borders around is split by the word pattern, and a word of it that is
+    longer than ``size`` is cut in parts of that length."""
     out, start = [], 0
     while len(text) - start > size:
         at = start + size
+        while at < len(text) and at < start + 2 * size and not _safe(text, at):
+            at += 1
+        if at < len(text) and _safe(text, at):
+            out.append((text[start:at], WHOLE))
+            start = at
+            continue
+        low = start + size
+        while low > start and not _safe(text, low):
+            low -= 1
         while at < len(text) and not _safe(text, at):
             at += 1
-        out.append(text[start:at])
+        if low > start:
+            out.append((text[start:low], WHOLE))
+        out += _stretch(text[low:at], size)
         start = at
-    out.append(text[start:])
+    if start < len(text):
+        out.append((text[start:], WHOLE))
     return out
 
 
+def _stretch(text: str, size: int) -> list[tuple[str, int]]:
+    """Blocks of a stretch between certain borders: words beyond ``size`` in parts, the short words between them in texts of about ``size``.
+
+    What a text holds is split as in the whole, for the pattern looks ahead only behind white space: white space that would end a text
+    is left out of it and stands as words of its own."""
+    out: list[tuple[str, int]] = []
+    held: list[tuple[int, int]] = []
+
+    def flush() -> None:
+        last = len(held)
+        while last and text[held[last - 1][0] : held[last - 1][1]].isspace():
+            last -= 1
+        if last:
+            out.append((text[held[0][0] : held[last - 1][1]], WHOLE))
+        out.extend((text[x:y], LAST) for x, y in held[last:])
+        held.clear()
+
+    for a, b in (m.span() for m in _words().finditer(text)):
+        if b - a > size:
+            flush()
+            cuts = [*range(a, b, size), b]
+            out += [(text[x:y], LAST if y == b else GOES_ON) for x, y in zip(cuts, cuts[1:])]
+        else:
+            held.append((a, b))
+            if b - held[0][0] >= size:
+                flush()
+    flush()
+    return out
+
+
+def _lists(ids: list[list[int]]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+    flat = np.concatenate([np.array(x, np.int32) for x in ids]) if ids else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+
+
 def _encode(ranks: bytes):
+    """Ids in place of the last column, the text; of a part of a run, told by column ``kind``, the ids of the part alone."""
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(ranks)
         for b in it:
-            ids, size = [], []
-            for t in b.column("text").to_pylist():
-                x = encode_text(enc, t) if t else []
-                ids.append(np.array(x, np.int32))
-                size.append(len(x))
-            offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
-            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns - 1)), lists], names=[*b.schema.names[:-1], "ids"])
+            texts = b.column("text").to_pylist()
+            kinds = b.column("kind").to_pylist() if "kind" in b.schema.names else [WHOLE] * len(texts)
+            ids = [(encode_text(enc, t) if kind == WHOLE else encode_piece(enc, t)) if t else [] for t, kind in zip(texts, kinds)]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns - 1)), _lists(ids)], names=[*b.schema.names[:-1], "ids"])
 
     return run
 
 
-def _cut(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: blocks(t, BLOCK_CHARS))
+def join_parts(enc, parts: list[list[int]]) -> list[int]:
+    """The encoding of a run from its parts', joined in rounds of neighbours."""
+    while len(parts) > 1:
+        parts = [join_encodings(enc, *parts[k : k + 2]) if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
+    return parts[0] if parts else []
+
+
+def _assemble(ranks: bytes):
+    """The ids of each text from its blocks', which come in order."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(ranks)
+        row, key, done, run_parts = None, None, [], []
+
+        def text() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([key, _lists([[i for x in done for i in x]])], names=["key", "ids"])
+
+        for b in it:
+            rows, kinds = b.column("row").to_pylist(), b.column("kind").to_pylist()
+            for k in range(b.num_rows):
+                if rows[k] != row:
+                    if row is not None:
+                        yield text()
+                    row, key, done, run_parts = rows[k], b.column("key").slice(k, 1), [], []
+                ids = b.column("ids")[k].values.to_numpy(zero_copy_only=False).tolist()
+                if kinds[k] == WHOLE:
+                    done.append(ids)
+                else:
+                    run_parts.append(ids)
+                    if kinds[k] == LAST:
+                        done.append(join_parts(enc, run_parts))
+                        run_parts = []
+        if row is not None:
+            yield text()
+
+    return run
+
+
+def _cut(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: [{"text": x, "kind": kind} for x, kind in blocks(t, BLOCK_CHARS)])
+
+
+def long_texts(rows: DataFrame, ranks: bytes) -> DataFrame:
+    """key and ids of texts beyond ``BLOCK_CHARS``: their blocks, also those of one unsplit run, are encoded by different tasks."""
+    spark, kind = rows.sparkSession, rows.schema["key"].dataType.simpleString()
+    made = F.pandas_udf(_cut, "array<struct<text:string,kind:int>>")("text")
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())  # before the texts are taken apart: one number for all blocks
+    cut = numbered.select("key", "row", made.alias("bs")).select("key", "row", F.posexplode("bs").alias("block", "b")).select("key", "row", "block", "b.kind", "b.text")
+    # Few bytes and much work in each row: as many tasks as the session has, whatever the bytes.
+    spread = cut.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "row", "block")
+    parts = spread.mapInArrow(_encode(ranks), f"key {kind}, row long, block int, kind int, ids array<int>")
+    return parts.repartition("row").sortWithinPartitions("row", "block").mapInArrow(_assemble(ranks), f"key {kind}, ids array<int>")
 
 
 def token_ids(df: DataFrame, key: str, text: str, tokenizer: str | None = None) -> DataFrame:
     """``key`` and ``ids`` (array<int>) of every row, in the ids of the rank file ``tokenizer``, without special tokens.
 
     Null and empty texts give an empty list; strings that look like special tokens are ordinary text; texts are encoded whole. Rows with
-    equal or null keys each give a row. Texts beyond ``BLOCK_CHARS`` are cut at word borders, encoded block by block in different tasks
-    and put together again in order. Other columns of ``df`` are ignored. An empty table stays empty. The rank file is read where the
-    session runs and travels to the workers (under 1 MB for a vocabulary of 50,000)."""
+    equal or null keys each give a row. Texts beyond ``BLOCK_CHARS`` are cut, encoded block by block in different tasks and put together
+    again in order. Other columns of ``df`` are ignored. An empty table stays empty. The rank file is read where the session runs and
+    travels to the workers (under 1 MB for a vocabulary of 50,000). Long texts come from a second scan, as the short ones take no exchange."""
     with open(tokenizer or TOKENIZER, "rb") as f:
         ranks = f.read()
-    spark = df.sparkSession
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
     long = F.coalesce(F.length("text") > BLOCK_CHARS, F.lit(False))
     short = rows.where(~long).mapInArrow(_encode(ranks), f"key {kind}, ids array<int>")
-    cut = rows.where(long).select("key", F.monotonically_increasing_id().alias("row"), F.posexplode(F.pandas_udf(_cut, "array<string>")("text")).alias("block", "text"))
-    spread = cut.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "row", "block")
-    parts = spread.mapInArrow(_encode(ranks), f"key {kind}, row long, block int, ids array<int>")
-    whole = parts.groupBy("row").agg(F.first("key").alias("key"), F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("block", "ids"))), lambda x: x["ids"])).alias("ids"))
-    return short.unionByName(whole.select("key", "ids")).withColumnRenamed("key", key)
+    return short.unionByName(long_texts(rows.where(long), ranks)).withColumnRenamed("key", key)
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
