@@ -2,7 +2,7 @@
 
 Statistics-guided skipping: the scored rows are written clustered by group, ordered by falling score within it, in small Parquet row
 groups. Workers read each file's row groups in descending maximum score and skip those whose maximum is strictly below the current N-th
-score of every group they contain.
+score of every group they contain, which the row group's own least and greatest group tell.
 """
 
 from __future__ import annotations
@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chatloom.runtime import broadcast_if_small, scratch_path, table
+from chatloom.runtime import scratch_path, table
 
-#: Bytes of a row group of the clustered files.
-ROW_GROUP_BYTES = 1 << 20
-#: Rows of one group above which it is spread over several files by its items.
-HOT_ROWS = 1 << 18
+#: Bytes and rows of a row group of the clustered files: what is skipped at once.
+ROW_GROUP_BYTES, ROW_GROUP_ROWS = 1 << 20, 1 << 12
+#: Rows of a clustered file: what a task reads.
+FILE_ROWS = 1 << 20
 
 
 def _best(x: pd.DataFrame, n: int) -> pd.DataFrame:
@@ -29,6 +29,44 @@ def _best(x: pd.DataFrame, n: int) -> pd.DataFrame:
     return x.groupby("g", sort=False).head(n)
 
 
+def _bounds(f) -> pd.DataFrame:
+    """Of each row group: the maximum score (infinite if it isn't known) and the least and greatest group (None)."""
+    names = f.schema_arrow.names
+    told = []
+    for k in range(f.num_row_groups):
+        g, s = (f.metadata.row_group(k).column(names.index(c)).statistics for c in ("g", "s"))
+        known = g is not None and g.has_min_max
+        told.append((s.max if s is not None and s.has_min_max else np.inf, g.min if known else None, g.max if known else None))
+    return pd.DataFrame(told, columns=["top", "low", "high"])
+
+
+def _read_file(f, n: int) -> Iterator[tuple[pd.DataFrame | None, bool]]:
+    """The best rows of each row group that is read, and whether it was skipped. Groups that end within a row group leave at once; of those
+    that go on, n rows for each row group are held until the file's end."""
+    bounds = _bounds(f)
+    nth: dict[str, float] = {}
+    # A group is in two row groups only as the greatest of one and the least of the next: all others are finished where they are read.
+    lows, highs = bounds["low"].to_numpy(object), bounds["high"].to_numpy(object)
+    open_ = {h for h, g in zip(highs[:-1], lows[1:]) if h is not None and h == g}
+    sure = all(x is not None for x in lows) and all(h <= g for h, g in zip(highs[:-1], lows[1:]))
+    held = []
+    for k in np.argsort(-bounds["top"].to_numpy(float), kind="stable"):
+        top, low, high = bounds.iloc[k]
+        if sure and low == high and top < nth.get(low, -np.inf):
+            yield None, True
+            continue
+        best = _best(f.read_row_group(k, columns=["g", "i", "s"]).to_pandas(), n)
+        goes_on = best["g"].isin(open_) if sure else pd.Series(True, best.index)
+        some = best[goes_on]
+        size = some.groupby("g")["s"].agg(["size", "min"])
+        for g, least in size.loc[size["size"] >= n, "min"].items():
+            nth[g] = max(least, nth.get(g, -np.inf))
+        held.append(some)
+        yield best[~goes_on], False
+    if held:
+        yield _best(pd.concat(held), n), False
+
+
 def read_best(n: int, count_skips: bool = False):
     """Read clustered files by their statistics. Rows: g, i, s; with ``count_skips`` the row groups read and skipped instead."""
 
@@ -40,47 +78,27 @@ def read_best(n: int, count_skips: bool = False):
             for uri in paths["path"]:
                 system, path = fs.FileSystem.from_uri(uri)
                 with pq.ParquetFile(system.open_input_file(path)) as f:
-                    at = f.schema_arrow.names.index("s")
-                    stats = [f.metadata.row_group(k).column(at).statistics for k in range(f.num_row_groups)]
-                    top = np.array([x.max if x is not None and x.has_min_max else np.inf for x in stats])
-                    nth: dict[str, float] = {}
-                    parts, skipped = [], 0
-                    for k in np.argsort(-top, kind="stable"):
-                        if nth and np.isfinite(top[k]):
-                            groups = f.read_row_group(k, columns=["g"]).column("g").unique().to_pylist()
-                            if all(top[k] < nth.get(g, -np.inf) for g in groups):
-                                skipped += 1
-                                continue
-                        best = _best(f.read_row_group(k, columns=["g", "i", "s"]).to_pandas(), n)
-                        parts.append(best)
-                        size = best.groupby("g")["s"].agg(["size", "min"])
-                        for g, low in size.loc[size["size"] >= n, "min"].items():
-                            nth[g] = max(low, nth.get(g, -np.inf))
                     if count_skips:
-                        yield pd.DataFrame({"n_read": [len(parts)], "n_skipped": [skipped]})
-                    elif parts:
-                        yield _best(pd.concat(parts), n)
+                        skipped = sum(skip for _, skip in _read_file(f, n))
+                        yield pd.DataFrame({"n_read": [f.num_row_groups - skipped], "n_skipped": [skipped]})
+                    else:
+                        for best, _ in _read_file(f, n):
+                            if best is not None and len(best):
+                                yield best
 
     return run
 
 
 def cluster(df: DataFrame, group: str, item: str, score: str) -> DataFrame:
-    """Write the scored rows clustered by group and return the files' paths. Hot groups are spread over files by item."""
+    """Write the scored rows clustered by group and return the files' paths. The input is read once: adaptive execution cuts the partition of
+    a hot group into several files and joins small ones, by the bytes it sees, and no file has more than ``FILE_ROWS`` rows."""
     spark = df.sparkSession
     rows = df.select(F.col(group).cast("string").alias("g"), F.col(item).cast("string").alias("i"), F.col(score).cast("double").alias("s"))
     rows = rows.where("g is not null and i is not null and s is not null and not isnan(s)").withColumn("s", F.col("s") + F.lit(0.0))
-    hot = rows.groupBy("g").agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_ROWS).select("g", F.ceil(F.col("_n") / HOT_ROWS).alias("_salts"))
-    n_hot = hot.count()
-    if n_hot:
-        rows = rows.join(broadcast_if_small(hot, n_hot, 256), "g", "left")
-        rows = rows.withColumn("_salt", F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64("i"), F.col("_salts"))).otherwise(F.lit(0)))
-    else:
-        rows = rows.withColumn("_salt", F.lit(0))
     path = scratch_path(spark, "p5")
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
-        rows.repartition(files, "g", "_salt").select("g", "i", "s").sortWithinPartitions("g", F.desc("s"), "i")
-        .write.option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.page.row.count.limit", 5000).parquet(path)
+        rows.hint("rebalance", "g").sortWithinPartitions("g", F.desc("s"), "i")
+        .write.option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.block.row.count.limit", ROW_GROUP_ROWS).option("maxRecordsPerFile", FILE_ROWS).parquet(path)
     )
     paths = spark.read.schema("g string, i string, s double").parquet(path).inputFiles()
     made = spark.createDataFrame([(p,) for p in paths], "path string")
@@ -95,8 +113,10 @@ def top_n(df: DataFrame, group: str, item: str, score: str, n: int) -> DataFrame
     are ordinary values here. A group with fewer items gives all of them; an empty table none. Group and item come out as strings, the
     score as double; other columns of ``df`` are ignored whatever their names."""
     best = cluster(df, group, item, score).mapInPandas(read_best(n), "g string, i string, s double")
-    rank = F.row_number().over(W.partitionBy("g").orderBy(F.desc("s"), "i"))  # at most n rows of each file are left
-    return best.withColumn("rank", rank).where(F.col("rank") <= n).select(F.col("g").alias(group), F.col("i").alias(item), F.col("s").alias(score), "rank")
+    # At most n rows of a group are left of each file. An item can be in several files of a hot group: its highest score stays.
+    here = best.repartition("g").withColumn("again", F.row_number().over(W.partitionBy("g", "i").orderBy(F.desc("s")))).where("again = 1")
+    rank = F.row_number().over(W.partitionBy("g").orderBy(F.desc("s"), "i"))
+    return here.withColumn("rank", rank).where(F.col("rank") <= n).select(F.col("g").alias(group), F.col("i").alias(item), F.col("s").alias(score), "rank")
 
 
 def p5_top(spark: SparkSession, sf_dir: str) -> DataFrame:
