@@ -87,9 +87,13 @@ def _words():
     return regex.compile(PATTERN)
 
 
+def has_long_run(text: str) -> bool:
+    return len(text) >= PIECE_CHARS and _long_run().search(text) is not None
+
+
 def encode_text(enc, text: str) -> list[int]:
     """A text's ids. Only texts with a long unsplit run leave the library's own path."""
-    if len(text) < PIECE_CHARS or not _long_run().search(text):
+    if not has_long_run(text):
         return enc.encode_ordinary(text)
     out: list[int] = []
     for m in _words().finditer(text):
@@ -174,12 +178,21 @@ def _stretch(text: str, size: int) -> list[tuple[str, int]]:
     return out
 
 
-def _lists(ids: list[list[int]]) -> pa.ListArray:
+def _lists(ids: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-    flat = np.concatenate([np.array(x, np.int32) for x in ids]) if ids else np.empty(0, np.int32)
+    flat = np.concatenate(ids).astype(np.int32, copy=False) if ids else np.empty(0, np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
 
 
+def _ids(enc, text: str, kind: int) -> np.ndarray:
+    """One text's ids as an array, so that no batch is held as Python numbers."""
+    if kind != WHOLE:
+        return np.array(encode_piece(enc, text), np.int32)
+    if has_long_run(text):
+        return np.array(encode_text(enc, text), np.int32)
+    return enc.encode_to_numpy(text, disallowed_special=()).view(np.int32)
+
+
 def _encode(ranks: bytes):
     """Ids in place of the last column, the text; of a part of a run, told by column ``kind``, the ids of the part alone."""
 
@@ -188,7 +201,7 @@ def _encode(ranks: bytes):
         for b in it:
             texts = b.column("text").to_pylist()
             kinds = b.column("kind").to_pylist() if "kind" in b.schema.names else [WHOLE] * len(texts)
-            ids = [(encode_text(enc, t) if kind == WHOLE else encode_piece(enc, t)) if t else [] for t, kind in zip(texts, kinds)]
+            ids = [_ids(enc, t, kind) if t else np.empty(0, np.int32) for t, kind in zip(texts, kinds)]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns - 1)), _lists(ids)], names=[*b.schema.names[:-1], "ids"])
 
     return run
@@ -209,7 +222,7 @@ def _assemble(ranks: bytes):
         row, key, done, run_parts = None, None, [], []
 
         def text() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([key, _lists([[i for x in done for i in x]])], names=["key", "ids"])
+            return pa.RecordBatch.from_arrays([key, _lists([np.concatenate(done)])], names=["key", "ids"])
 
         for b in it:
             rows, kinds = b.column("row").to_pylist(), b.column("kind").to_pylist()
@@ -218,13 +231,13 @@ def _assemble(ranks: bytes):
                     if row is not None:
                         yield text()
                     row, key, done, run_parts = rows[k], b.column("key").slice(k, 1), [], []
-                ids = b.column("ids")[k].values.to_numpy(zero_copy_only=False).tolist()
+                ids = b.column("ids")[k].values.to_numpy(zero_copy_only=False)
                 if kinds[k] == WHOLE:
                     done.append(ids)
                 else:
-                    run_parts.append(ids)
+                    run_parts.append(ids.tolist())
                     if kinds[k] == LAST:
-                        done.append(join_parts(enc, run_parts))
+                        done.append(np.array(join_parts(enc, run_parts), np.int32))
                         run_parts = []
         if row is not None:
             yield text()
