@@ -1,8 +1,9 @@
 """Problem 9: evaluation texts leaking into training text.
 
 Q-gram lemma filtering: a passage of at least L characters that matches a test item within e edits shares at least L - q + 1 - e * q of its
-q-grams with it, in a band of diagonals no wider than e + 1. Shared q-grams are counted in overlapping diagonal bands, the regions that reach
-the bound are kept, and each is verified by banded alignment.
+q-grams with it, in a band of diagonals no wider than e + 1. Of the items' q-grams every s-th is indexed, and the bound is that of these:
+(L - q + 1) / s - e * q / s, rounded down and up. Shared q-grams are counted in overlapping diagonal bands, the regions that reach the bound
+are kept, and each is verified by banded alignment. Hits are worked in slices of a bounded number, however often a q-gram is repeated.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.runtime import BROADCAST_BYTES, batches, table
+from chatloom.runtime import BROADCAST_BYTES, batches, scratch_path, table
 
 #: Length of a q-gram, a power of two; the bound L - q + 1 - e * q must stay positive.
 Q = 16
@@ -23,6 +24,9 @@ Q = 16
 BLOCK_CHARS = 1 << 21
 #: Bytes of test items indexed at once: more are worked in blocks, each against all documents.
 ITEM_BYTES = BROADCAST_BYTES
+#: Shared q-grams held at once in a task, and cells of alignments.
+HITS = 1 << 19
+CELLS = 1 << 22
 BASE = np.uint64(0x9E3779B97F4A7C15)
 FILTER_BITS = 22
 
@@ -57,19 +61,31 @@ def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
     return h
 
 
+def stride(length: int, edits: int, q: int) -> tuple[int, int]:
+    """Every how many q-grams of an item are indexed, and how many of these a passage shares at least."""
+    best = (1, length - q + 1 - edits * q)
+    for s in range(2, 9):
+        need = (length - q + 1) // s - edits * -(-q // s)
+        if need >= 2:
+            best = (s, need)
+    return best
+
+
 class Items:
-    """The q-gram index of a block of test items."""
+    """The q-gram index of a block of test items: every ``step``-th q-gram of each."""
 
-    def __init__(self, ids: list, texts: list[str], q: int):
+    def __init__(self, ids: list, texts: list[str], q: int, step: int = 1):
         self.ids, self.q = ids, q
         self.codes, ends = letters(texts)
         self.ends, self.starts = ends, np.concatenate(([0], ends[:-1])) if len(ends) else ends
         h = gram_hashes(self.codes, q)
         at = np.arange(len(h))
-        inside = at + q <= self.ends[np.searchsorted(self.ends, at, side="right")] if len(h) else np.zeros(0, bool)
-        at = at[inside]
-        order = np.argsort(h[at], kind="stable")
-        self.at, self.hashes = at[order], h[at][order]
+        of = np.searchsorted(self.ends, at, side="right")
+        at = at[(at + q <= self.ends[of]) & ((at - self.starts[of]) % step == 0)] if len(h) else at
+        self.hashes, rank = np.unique(h[at], return_inverse=True)
+        # Places of the q-grams in the order of their hash and place, in one number: a hash's places in any range of the items are a range.
+        self.span = len(self.codes) + 1
+        self.keys = np.sort(rank.astype(np.int64) * self.span + at)
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self._slot(self.hashes)] = True
 
@@ -77,120 +93,169 @@ class Items:
     def _slot(h: np.ndarray) -> np.ndarray:
         return (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
-    def hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in the documents and in the items of all shared q-grams."""
+    def known(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in the documents whose q-gram is indexed, and the numbers of these q-grams."""
         at = np.flatnonzero(self.filter[self._slot(h)])
-        low, high = np.searchsorted(self.hashes, h[at], side="left"), np.searchsorted(self.hashes, h[at], side="right")
-        n = high - low
-        at, low, n = at[n > 0], low[n > 0], n[n > 0]
-        if not len(at):
-            return at, at
-        first = np.repeat(np.cumsum(n) - n, n)
-        return np.repeat(at, n), self.at[np.repeat(low, n) + np.arange(n.sum()) - first]
-
-
-def aligned(a: np.ndarray, b: np.ndarray, length: int, edits: int) -> bool:
-    """Banded alignment: whether a run of at least ``length`` characters of ``a`` matches a run of ``b`` within ``edits`` edits, over all
-    diagonals from -edits to edits of the two regions (as they were cut around a band)."""
-    if edits == 0:
-        n = min(len(a), len(b))
-        same = np.concatenate(([False], a[:n] == b[:n], [False])).astype(np.int8)
-        d = np.diff(same)
-        return bool(n) and (np.flatnonzero(d < 0) - np.flatnonzero(d > 0)).max(initial=0) >= length
-    # best[e][d]: from each start, furthest reach with e edits; starts are tried along a.
-    for start in range(len(a) - length + 1 if len(a) >= length else 0):
-        for shift in range(-edits, edits + 1):
-            if start + shift < 0:
-                continue
-            x, y = a[start:], b[start + shift :]
-            reach = {0: _slide(x, y, 0, 0)}
-            if max(reach.values()) >= length:
-                return True
-            for _ in range(edits):
-                new: dict[int, int] = {}
-                for d, i in reach.items():
-                    for nd, ni in ((d, i + 1), (d + 1, i), (d - 1, i + 1)):
-                        if abs(nd) <= edits and ni <= len(x) and 0 <= ni + nd <= len(y):
-                            new[nd] = max(new.get(nd, -1), _slide(x, y, ni, ni + nd))
-                reach = new
-                if reach and max(reach.values()) >= length:
-                    return True
-    return False
-
-
-def _slide(x: np.ndarray, y: np.ndarray, i: int, j: int) -> int:
-    while i < len(x) and j < len(y) and x[i] == y[j]:
-        i, j = i + 1, j + 1
-    return i
-
-
-def find_leaks(items: Items, texts: list[str], length: int, edits: int) -> set[tuple[int, int]]:
-    """(text, item) numbers of the pairs that share a passage."""
-    q, need = items.q, length - items.q + 1 - edits * items.q
+        rank = np.searchsorted(self.hashes, h[at])
+        ok = rank < len(self.hashes)
+        ok[ok] = self.hashes[rank[ok]] == h[at][ok]
+        return at[ok], rank[ok]
+
+    def counts(self, rank: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each q-gram where its places in the items' range [low, high) begin, and how many they are."""
+        first = np.searchsorted(self.keys, rank * self.span + low)
+        return first, np.searchsorted(self.keys, rank * self.span + high) - first
+
+    def places(self, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return self.keys[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())] % self.span
+
+
+def _slices(items: Items, at: np.ndarray, rank: np.ndarray, reach: int, wanted) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hits (positions in the documents and in the items) in slices of about ``HITS``. Slices overlap by ``reach``, so that each passage lies
+    in one. ``wanted`` tells of a range of positions and of items whether it is still of interest."""
+    todo = [(0, len(at), 0, len(items.codes))]
+    while todo:
+        lo, hi, low, high = todo.pop()
+        if lo >= hi or not wanted(at[lo], at[hi - 1], low, high):
+            continue
+        first, n = items.counts(rank[lo:hi], low, high)
+        total = int(n.sum())
+        if not total:
+            continue
+        middle = lo + (hi - lo) // 2
+        right = int(np.searchsorted(at, at[middle - 1] - reach + 1)) if hi - lo > 1 else lo
+        if total > HITS and right > lo:
+            todo += [(right, hi, low, high), (lo, middle, low, high)]
+        elif total > HITS and high - low > 4 * reach:
+            cut = (low + high) // 2
+            todo += [(lo, hi, max(low, cut - reach), high), (lo, hi, low, cut)]
+        else:
+            yield np.repeat(at[lo:hi], n), items.places(first, n)
+
+
+def longest_runs(same: np.ndarray) -> np.ndarray:
+    """The longest run of true cells in each row."""
+    place = np.arange(1, same.shape[1] + 1)
+    gap = np.maximum.accumulate(np.where(same, 0, place), axis=1)
+    return (place - gap).max(axis=1, initial=0)
+
+
+def _window(codes: np.ndarray, start: np.ndarray, width: int, low: np.ndarray, high: np.ndarray, empty: int) -> np.ndarray:
+    """Codes from ``start`` on in each row; ``empty`` outside [low, high)."""
+    at = start[:, None] + np.arange(width)
+    inside = (at >= low[:, None]) & (at < high[:, None])
+    return np.where(inside, codes[np.where(inside, at, 0)].astype(np.int64), empty)
+
+
+def aligned(x: np.ndarray, y: np.ndarray, length: int, edits: int, band: int) -> np.ndarray:
+    """Banded alignment of windows side by side (rows of codes, negative where there is none): whether a run of at least ``length``
+    characters of one matches a run of the other within ``edits`` edits, on diagonals from -band to band of the windows (y's window begins
+    ``band`` characters earlier than x's)."""
+    if not edits:
+        return longest_runs((x == y[:, band : band + x.shape[1]]) & (x >= 0)) >= length
+    return _reaches(x, y, length, edits, band, True) | _reaches(x, y, length, edits, band, False)
+
+
+def _reaches(x: np.ndarray, y: np.ndarray, length: int, edits: int, band: int, of_x: bool) -> np.ndarray:
+    """aligned, with the run's length counted in characters of x or of y. best[k][:, d]: the length of the longest run that ends before
+    x's next character on diagonal d with k edits; -1 where there is none."""
+    n, size, width = len(x), x.shape[1], 2 * band + 1
+    found = np.zeros(n, bool)
+    best = np.zeros((edits + 1, n, width), np.int32)  # a run may begin anywhere
+    for i in range(size):
+        here = y[:, i : i + width]
+        ink, other = (x[:, i] >= 0)[:, None], here >= 0
+        same = (x[:, i : i + 1] == here) & ink
+        new = np.zeros_like(best)
+        for k in range(edits + 1):
+            row = np.where(same, best[k] + 1, 0)
+            if k:
+                swapped = np.where(ink & other, best[k - 1] + 1, 0)
+                left_out = np.zeros_like(row)  # a character of x without one of y: the diagonal falls by one
+                left_out[:, :-1] = np.where(ink, best[k - 1][:, 1:] + of_x, 0)
+                row = np.maximum(row, np.maximum(swapped, left_out))
+            if k:
+                put_in = np.zeros_like(row)  # a character of y without one of x: the diagonal rises by one, at the same place of x
+                put_in[:, 1:] = np.where(here[:, 1:] >= 0, new[k - 1][:, :-1] + (not of_x), 0)
+                row = np.maximum(row, put_in)
+            new[k] = row
+            found |= row.max(axis=1) >= length
+        best = new
+    return found
+
+
+def find_leaks(items: Items, texts: list[str], length: int, edits: int, need: int | None = None) -> set[tuple[int, int]]:
+    """(text, item) numbers of the pairs that share a passage. ``need``: the indexed q-grams that a passage shares at least."""
+    q = items.q
+    need = length - q + 1 - edits * q if need is None else need
     codes, ends = letters(texts)
     if len(codes) < q or not len(items.hashes):
         return set()
     starts = np.concatenate(([0], ends[:-1]))
-    at, other = items.hits(gram_hashes(codes, q))
-    if not len(at):
-        return set()
-    doc, item = np.searchsorted(ends, at, side="right"), np.searchsorted(items.ends, other, side="right")
-    inside = at + q <= ends[doc]
-    at, other, doc, item = at[inside], other[inside], doc[inside], item[inside]
-    diagonal = (at - starts[doc]) - (other - items.starts[item])
-    width = 2 * edits + 1
+    at, rank = items.known(gram_hashes(codes, q))
+    inside = at + q <= ends[np.searchsorted(ends, at, side="right")]
+    at, rank = at[inside], rank[inside]
+    width, reach = 2 * edits + 1, length + 2 * edits
     found: set[tuple[int, int]] = set()
-    # Bands of twice the width that overlap by half, so that every run of `width` diagonals lies in one.
-    for offset in range(2 if edits else 1):
-        band = (diagonal + offset * width) // (2 * width) if edits else diagonal
-        order = np.lexsort((at, band, item, doc))
-        d, i, b, p, o = doc[order], item[order], band[order], at[order], other[order]
-        if not len(d):
-            continue
-        fresh = np.concatenate(([True], (d[1:] != d[:-1]) | (i[1:] != i[:-1]) | (b[1:] != b[:-1])))
-        group = np.flatnonzero(fresh)
-        size = np.diff(np.concatenate((group, [len(d)])))
-        for g, n in zip(group[size >= need], size[size >= need]):
-            key = (int(d[g]), int(i[g]))
-            if key in found:
-                continue
-            pos, opp = p[g : g + n], o[g : g + n]
+
+    def wanted(first: int, last: int, low: int, high: int) -> bool:
+        """False for a slice of one text and one item that are known to share a passage."""
+        d, i = np.searchsorted(ends, [first, last], side="right"), np.searchsorted(items.ends, [low, high - 1], side="right")
+        return d[0] != d[1] or i[0] != i[1] or (int(d[0]), int(i[0])) not in found
+
+    for p, o in _slices(items, at, rank, reach, wanted):
+        doc, item = np.searchsorted(ends, p, side="right"), np.searchsorted(items.ends, o, side="right")
+        diagonal = (p - starts[doc]) - (o - items.starts[item])
+        # Bands of twice the width that overlap by half, so that every run of `width` diagonals lies in one.
+        for offset in range(2 if edits else 1):
+            band = (diagonal + offset * width) // (2 * width) if edits else diagonal
+            order = np.lexsort((p, band, item, doc))
+            d, i, b, at_, other = doc[order], item[order], band[order], p[order], o[order]
             # Regions where `need` shared q-grams lie within one passage's reach.
-            reach = length + edits
-            close = pos[need - 1 :] - pos[: n - need + 1] <= reach - q
-            if not close.any():
-                continue
-            if edits == 0:
-                lo, hi = pos[0], pos[-1] + q
-                if aligned(codes[lo:hi], items.codes[opp[0] : opp[0] + hi - lo], length, 0):
-                    found.add(key)
-                continue
-            for k in np.flatnonzero(close):
-                lo = max(starts[d[g]], pos[k] - reach)
-                hi = min(ends[d[g]], pos[k + need - 1] + q + reach)
-                shift = pos[k] - opp[k]
-                x = codes[lo:hi]
-                left, right = max(items.starts[i[g]], lo - shift), min(items.ends[i[g]], hi - shift)
-                y = items.codes[left:right]
-                x = x[max(0, left + shift - lo) :]
-                if aligned(x, y, length, edits) or aligned(y, x, length, edits):
-                    found.add(key)
-                    break
+            k = np.arange(len(d) - need + 1)
+            e = k + need - 1
+            k = k[(d[k] == d[e]) & (i[k] == i[e]) & (b[k] == b[e]) & (at_[e] - at_[k] <= reach - q)]
+            # A passage is in reach of its first region, so of regions that follow within a quarter one is enough.
+            if len(k):
+                gap = np.concatenate(([True], (np.diff(at_[k]) != 0) | (np.diff(d[k]) != 0) | (np.diff(i[k]) != 0) | (np.diff(b[k]) != 0)))
+                k = k[gap]
+            wide = 2 * width + edits if edits else 0
+            size = 3 * reach
+            step = max(1, CELLS // (size * (1 if not edits else 4 * wide)))
+            for m in range(0, len(k), step):
+                c = k[m : m + step]
+                fresh = np.array([(x, y) not in found for x, y in zip(d[c].tolist(), i[c].tolist())], bool)
+                c = c[fresh]
+                if not len(c):
+                    continue
+                start = at_[c] - reach
+                x = _window(codes, start, size, starts[d[c]], ends[d[c]], -1)
+                y = _window(items.codes, other[c] - reach - wide, size + 2 * wide, items.starts[i[c]], items.ends[i[c]], -2)
+                ok = aligned(x, y, length, edits, wide)
+                found |= set(zip(d[c][ok].tolist(), i[c][ok].tolist()))
     return found
 
 
-def _search(ids: list, texts: list[str], length: int, edits: int, q: int, names: list[str], kinds: list[pa.DataType]):
+def _search(source: str, block: int, length: int, edits: int, q: int, names: list[str], kinds: list[pa.DataType]):
+    """Documents against one block of the written items, which each task reads from the shared folder."""
     kept: list[Items] = []
+    step, need = stride(length, edits, q)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not kept:
-            kept.append(Items(ids, texts, q))
+            import pyarrow.dataset as ds
+            from pyarrow import fs
+
+            system, path = fs.FileSystem.from_uri(f"{source}/block={block}")
+            t = ds.dataset(path, format="parquet", filesystem=system).to_table(columns=["k", "t"])
+            kept.append(Items(t.column("k").to_pylist(), t.column("t").to_pylist(), q, step))
+        ids = kept[0].ids
         for t in batches(it, 1024):
             keys, bodies = t.column(0), t.column(1).to_pylist()
             rows, cols, start, size = [], [], 0, 0
             for k in range(len(bodies) + 1):
                 if k == len(bodies) or size >= BLOCK_CHARS:
-                    for d, i in sorted(find_leaks(kept[0], bodies[start:k], length, edits)):
+                    for d, i in sorted(find_leaks(kept[0], bodies[start:k], length, edits, need)):
                         rows.append(start + d)
                         cols.append(ids[i])
                     start, size = k, 0
@@ -207,7 +272,8 @@ def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str,
 
     Compared are the texts in NFKC and lower case with only letters and numbers left, whole at any length. Null and empty texts match
     nothing; rows with repeated ids each give their rows; other columns are ignored, whatever their names; either table may be empty. Test
-    items travel to the workers in blocks of at most ``ITEM_BYTES``; every block is held against all documents."""
+    items are written to the shared folder in blocks of about ``ITEM_BYTES`` (a longer item is a block of its own size); every block is
+    held against all documents, and none passes through the driver."""
     if length - q + 1 - edits * q < 1:
         raise ValueError("q is too long for the length and the edits: no shared q-gram is certain")
     spark = docs.sparkSession
@@ -218,23 +284,17 @@ def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str,
     arrow = [to_arrow_type(k) for k in kinds]
     rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).where("_t <> ''")
     held = items.select(F.col(item_key).alias("k"), F.col(item_text).alias("t")).where("t <> ''")
+    size = held.agg(F.sum(F.length("t") * 4)).first()[0]
+    if not size:
+        return spark.createDataFrame([], schema)
+    n = -(-size // ITEM_BYTES)
+    path = scratch_path(spark, "p9-items")
+    held.withColumn("block", F.pmod(F.xxhash64("k", "t"), F.lit(n))).repartition("block").write.partitionBy("block").parquet(path)
     out = None
-    block: tuple[list, list] = ([], [])
-    size = 0
-
-    def search() -> DataFrame:
-        found = rows.mapInArrow(_search(list(block[0]), list(block[1]), length, edits, q, [key, item_key], arrow), schema)
-        return found if out is None else out.unionByName(found)
-
-    for r in held.toLocalIterator():  # a query set that comes to the driver one partition at a time, and leaves it in blocks
-        block[0].append(r.k)
-        block[1].append(r.t)
-        size += len(r.t) * 4
-        if size >= ITEM_BYTES:
-            out, block, size = search(), ([], []), 0
-    if block[0]:
-        out = search()
-    return out if out is not None else spark.createDataFrame([], schema)
+    for block in sorted(r.block for r in spark.read.parquet(path).select("block").distinct().collect()):  # block numbers
+        found = rows.mapInArrow(_search(path, block, length, edits, q, [key, item_key], arrow), schema)
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,18 +46,74 @@ def test_items_in_blocks(spark, monkeypatch):
 def test_within_edits(edits):
     rnd = random.Random(edits)
     item = "".join(rnd.choice("abcdefghij") for _ in range(120))
-    index = lk.Items([0], [item], 8)
-    for _ in range(40):
-        at = rnd.randrange(60)
-        part = list(item[at : at + 50])
-        for _ in range(edits):
+    step, need = lk.stride(40, edits, 8)
+    for index, least in ((lk.Items([0], [item], 8), None), (lk.Items([0], [item], 8, step), need)):
+        for _ in range(40):
+            at = rnd.randrange(60)
+            part = list(item[at : at + 50])
+            for _ in range(edits):
+                k = rnd.randrange(len(part))
+                part[k : k + 1] = rnd.choice([[], ["z"], [part[k], "z"]])
+            assert lk.find_leaks(index, ["q" * 30 + "".join(part) + "w" * 30], 40, edits, least) == {(0, 0)}
+        assert lk.find_leaks(index, ["".join(rnd.choice("abcdefghij") for _ in range(300))], 40, edits, least) == set()
+
+
+def within(a, b, length, edits):
+    """Whether a run of at least ``length`` characters of one text is within ``edits`` edits of a run of the other, by plain recurrence."""
+    for x, y in ((a, b), (b, a)):
+        for start in range(len(x) - length + 1):
+            run = x[start : start + length]
+            row = [0] * (len(y) + 1)  # the other run begins anywhere
+            for i, c in enumerate(run):
+                new = [i + 1]
+                for j, e in enumerate(y):
+                    new.append(min(row[j] + (c != e), row[j + 1] + 1, new[-1] + 1))
+                row = new
+            if min(row) <= edits:
+                return True
+    return False
+
+
+@pytest.mark.parametrize("edits", [0, 1, 2])
+def test_edits_against_brute_force(edits):
+    rnd = random.Random(10 + edits)
+    length, q = 20, {0: 8, 1: 4, 2: 4}[edits]
+    step, need = lk.stride(length, edits, q)
+    items = ["".join(rnd.choice("abcd") for _ in range(45)) for _ in range(5)] + ["ab" * 20, "a" * 30]
+    index = lk.Items(list(range(len(items))), items, q, step)
+    texts = ["a" * 25, "ba" * 14, "a" * 12 + "b" + "a" * 12]
+    for _ in range(60):
+        at = rnd.randrange(20)
+        part = list(rnd.choice(items)[at : at + rnd.randint(16, 26)])
+        for _ in range(rnd.randint(0, 3)):
             k = rnd.randrange(len(part))
-            part[k : k + 1] = rnd.choice([[], ["z"], [part[k], "z"]])
-        assert lk.find_leaks(index, ["q" * 30 + "".join(part) + "w" * 30], 40, edits) == {(0, 0)}
-    assert lk.find_leaks(index, ["".join(rnd.choice("abcdefghij") for _ in range(300))], 40, edits) == set()
+            part[k : k + 1] = rnd.choice([[], [rnd.choice("abcd")], [part[k], rnd.choice("abcd")]])
+        texts.append("".join(rnd.choice("abcd") for _ in range(8)) + "".join(part) + "".join(rnd.choice("abcd") for _ in range(8)))
+    want = {(d, i) for d, t in enumerate(texts) for i, u in enumerate(items) if within(t, u, length, edits)}
+    assert lk.find_leaks(index, texts, length, edits, need) == want and 10 < len(want) < len(texts) * len(items)
+
+
+def test_repeated_grams_stay_bounded(monkeypatch):
+    import tracemalloc
+
+    step, need = lk.stride(40, 0, lk.Q)
+    assert (step, need) == (8, 3)
+    index = lk.Items([0, 1], ["7" * 2000, "x" * 39], lk.Q, step)
+    tracemalloc.start()
+    assert lk.find_leaks(index, ["7" * 8000, "7" * 39, "7" * 40], 40, 0, need) == {(0, 0), (2, 0)}
+    assert lk.find_leaks(lk.Items([0], ["7" * 2000], lk.Q), ["7" * 8000], 40, 0) == {(0, 0)}
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    monkeypatch.setattr(lk, "HITS", 64)
+    rnd = random.Random(1)
+    items = ["".join(rnd.choice("ab") for _ in range(90)) for _ in range(6)] + ["ab" * 60]
+    texts = ["".join(rnd.choice("ab") for _ in range(30)) + items[rnd.randrange(7)][rnd.randrange(40) :][: rnd.choice([39, 40, 45])] for _ in range(40)]
+    want = {(d, i) for d, t in enumerate(texts) for i, u in enumerate(items) if shares(t, u, 40)}
+    assert lk.find_leaks(lk.Items(list(range(7)), items, 8, 4), texts, 40, 0, 8) == want
 
 
 def test_aligned():
-    a = np.array([1, 2, 3, 4, 5, 6], np.uint32)
-    assert lk.aligned(a, a, 6, 0) and not lk.aligned(a, a[1:], 3, 0)
-    assert lk.aligned(a, np.array([1, 2, 9, 4, 5, 6], np.uint32), 6, 1)
+    a = np.array([[1, 2, 3, 4, 5, 6]], np.int64)
+    wide = np.array([[-2, 1, 2, 9, 4, 5, 6, -2]], np.int64)
+    assert lk.aligned(a, a, 6, 0, 0)[0] and not lk.aligned(a, a + 1, 3, 0, 0)[0]
+    assert lk.aligned(a, wide, 6, 1, 1)[0] and not lk.aligned(a, wide, 6, 0, 1)[0]
