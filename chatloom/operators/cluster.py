@@ -1,12 +1,11 @@
 """Clustering of texts and the outputs of classifiers on top of pyspark.ml.
 
-Sequential algorithms run with a fixed order. Density clusters of a group beyond ``MAX_PAIRS`` rows of pairs are made in parallel rounds; a
-canopy's centres must fit a task and are refused beyond ``MAX_GROUP``."""
+Sequential algorithms run with a fixed order: density clusters of a group beyond ``MAX_PAIRS`` rows of pairs, and canopies, are made in
+parallel rounds with the outcome of the sequential pass."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,15 +13,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatloom.functions import similarity as sm
+from chatloom.operators.pairs import _block, bag, costly_bag, missing, signature, spread
+from chatloom.operators.ranking import numbered
 from chatloom.runtime import materialize
 
-MAX_GROUP = 20_000
-#: Rows of similar pairs of a group that go to one task.
-MAX_PAIRS = MAX_GROUP * 64
+#: Rows of similar pairs of a group that go to one task; larger groups are clustered in rounds.
+MAX_PAIRS = 1_280_000
 GROUP_LENGTH = 1000
 ITERATIONS = 20
 SIMILARITY = 0.66
-LIMIT = 1001
 
 
 def kmeans_groups(df: DataFrame, tokens: str, group_length: int = GROUP_LENGTH, seed: int = 1, features: int = 1 << 18) -> DataFrame:
@@ -46,26 +45,37 @@ def similar_in_group(df: DataFrame, group: str, text: str, t: float = SIMILARITY
     meets all texts that are no longer. The numbers of costly characters differ by no more than k."""
     rows = df.select(F.col(group).alias("group"), F.col(text).alias("x")).where("x is not null").distinct()
     # Numbered once and kept, so that candidate pairs are pairs of numbers.
-    rows = materialize(rows.withColumn("id", F.monotonically_increasing_id()), "group-texts")
+    rows = materialize(rows.withColumn("id", F.monotonically_increasing_id()).withColumn("bag", costly_bag(F.col("x"))), "group-texts")
     costly = F.regexp_replace("x", f"[{sm.FREE}]", "")
     none = F.array().cast("array<string>")
     grams = F.when(F.length(costly) >= 2, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(costly) - 1), lambda i: F.substring(costly, i, F.lit(2))))).otherwise(none)
     lost = (2 * F.floor((1 - t) * F.length("x") + F.lit(1e-6))).cast("int")
-    made = rows.select("group", "id", F.length("x").alias("n"), F.length(costly).alias("m"), grams.alias("grams"), lost.alias("lost"))
-    each = made.select("group", "id", "n", "m", "lost", F.explode("grams").alias("key"))
-    often = each.withColumn("often", F.count("*").over(W.partitionBy("group", "key")))
-    rare = often.groupBy("group", "id").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.first("lost").alias("lost"), F.slice(F.transform(F.sort_array(F.collect_list(F.struct("often", "key"))), lambda p: p["key"]), F.lit(1), F.first("lost") + 1).alias("keys"))
-    few = made.where(F.size("grams") <= F.col("lost")).select("group", "id", "n", "m", "lost", F.lit("any").alias("key"))
-    long = rare.select("group", "id", "n", "m", "lost", F.explode("keys").alias("key")).unionByName(few).select("group", "key", F.col("id").alias("i"), F.col("n").alias("ni"), F.col("m").alias("mi"), "lost")
-    short = each.select("group", "id", "n", "m", "key").unionByName(made.select("group", "id", "n", "m", F.lit("any").alias("key"))).select("group", "key", F.col("id").alias("j"), F.col("n").alias("nj"), F.col("m").alias("mj"))
-    near = (F.col("ni") >= F.col("nj")) & (F.col("i") != F.col("j")) & (2 * F.abs(F.col("mi") - F.col("mj")) <= F.col("lost"))
-    met = long.join(short, ["group", "key"]).where(near).select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct()
-    pairs = met.join(rows.select(F.col("id").alias("i"), "group", F.col("x").alias("a")), "i").join(rows.select(F.col("id").alias("j"), F.col("x").alias("b")), "j").select("group", "a", "b")
-    pairs = pairs.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few bytes, much work
-    scored = materialize(pairs.withColumn("sim", sm.edit_similar(F.col("a"), F.col("b"))).where(F.col("sim") >= t), "group-pairs")
+    made = rows.select("group", "id", F.length("x").alias("n"), F.length(costly).alias("m"), grams.alias("grams"), lost.alias("lost"), signature(F.col("bag")).alias("cs"), signature(grams).alias("gs"))
+    numbers = ["n", "m", "lost", "cs", "gs"]
+    each = made.select("group", "id", *numbers, F.explode("grams").alias("key"))
+    n = each.groupBy("group", "key").agg(F.count("*").alias("often"))  # a count beforehand: no window holds a frequent key's rows
+    often = each.join(n, ["group", "key"]).withColumn("place", F.row_number().over(W.partitionBy("id").orderBy("often", "key")))
+    few = made.where(F.size("grams") <= F.col("lost")).select("group", "id", *numbers, F.lit("any").alias("key"))
+    long = often.where(F.col("place") <= F.col("lost") + 1).select("group", "id", *numbers, "key").unionByName(few)
+    short = each.unionByName(made.select("group", "id", *numbers, F.lit("any").alias("key")))
+    named = lambda d, s: d.select("group", "key", F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in numbers])
+    # No more than k characters and 2k pairs of either text are lacking in the other: tested on signatures within the join.
+    lacking = lambda c: F.greatest(missing(f"{c}_i", f"{c}_j"), missing(f"{c}_j", f"{c}_i"))
+    near = (F.col("n_i") >= F.col("n_j")) & (F.col("i") != F.col("j")) & (2 * F.abs(F.col("m_i") - F.col("m_j")) <= F.col("lost_i")) & (2 * lacking("cs") <= F.col("lost_i")) & (lacking("gs") <= F.col("lost_i"))
+    met = named(long, "i").join(named(short, "j"), ["group", "key"]).where(near).select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct()
+    # The characters themselves before the distance, which costs far more.
+    left, right = rows.select(F.col("id").alias("i"), "group", F.col("x").alias("a"), F.col("bag").alias("bag_a")), rows.select(F.col("id").alias("j"), F.col("x").alias("b"), F.col("bag").alias("bag_b"))
+    close = _lost("bag_a", "bag_b") <= (1 - t) * F.greatest(F.length("a"), F.length("b")) + 1e-6
+    pairs = met.join(left, "i").join(right, "j").where(close).select("group", "a", "b")
+    scored = materialize(spread(pairs).withColumn("sim", sm.edit_similar(F.col("a"), F.col("b"))).where(F.col("sim") >= t), "group-pairs")
     return scored.unionByName(scored.select("group", F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
 
 
+def _lost(a: str, b: str) -> Column:
+    """How many of one bag the other lacks, at most: so many edits lie between the texts at least."""
+    return F.greatest(F.size(F.array_except(a, b)), F.size(F.array_except(b, a)))
+
+
 def _greedy(rows: pd.DataFrame) -> pd.DataFrame:
     """rows: group, a, b, sim (b null for a text without neighbours). Texts in falling number of neighbours, then by name."""
     near: dict[str, list[tuple[float, str]]] = {}
@@ -161,58 +171,50 @@ def cluster_id(*columns: str) -> Column:
     return F.sha2(F.concat_ws("|", *columns), 256)
 
 
-def canopy(df: DataFrame, text: str, segment: str, order: str, t1: float, t2: float, limit: int = LIMIT) -> DataFrame:
+def canopy(df: DataFrame, text: str, segment: str, order: str, t1: float, t2: float, limit: int | None = None) -> DataFrame:
     """Canopy clusters: text, cluster.
 
-    In the order of ``order`` a text becomes a centre if none before it is nearer than t2. Texts within t1 of a centre are its members;
-    clusters are numbered by falling mean length of their members (then by centre); a text of several clusters gets the least number; texts
-    of none share the next one. At most ``limit`` rows come out, by cluster and text. The centre pass is sequential: more than ``MAX_GROUP``
-    texts are refused."""
-    rows = df.select(F.col(text).alias("x"), F.col(segment).alias("seg"), F.col(order).alias("o")).where("x is not null").groupBy("x").agg(F.min_by("seg", "o").alias("seg"), F.min("o").alias("o"))
+    In the order of ``order`` (then by text) a text becomes a centre if no centre before it is nearer than t2. Texts within t1 of a centre
+    are its members; clusters are numbered by falling mean length of their members (then by centre); a text of several clusters gets the
+    least number; texts of none share the next one. Null texts are left out, repeated ones count once (with their first order's segment).
+    ``limit`` keeps the first rows by cluster and text, if given.
 
-    def centres(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple[str, list[str]]] = []
-        for p in it:
-            if len(held) > MAX_GROUP:
-                raise ValueError("too many canopy centres for one task")
-            for x, seg in zip(p["x"], p["seg"]):
-                if not held or _distances(x, seg, held).min() >= t2:
-                    held.append((x, seg))
-        yield pd.DataFrame({"centre": [x for x, _ in held], "cseg": [s for _, s in held]})
-
-    made = rows.repartition(1).sortWithinPartitions("o").select("x", "seg").mapInPandas(centres, "centre string, cseg string")
-    toks = lambda c: F.split(F.coalesce(F.col(c), F.lit("")), " ")
-    near = rows.join(F.broadcast(made)).where(sm.cluster_distance(F.col("x"), F.col("centre"), toks("seg"), toks("cseg")) <= t1)
-    size = near.groupBy("centre").agg(F.avg(F.length("x")).alias("mean"))
-    number = F.row_number().over(W.orderBy(F.desc("mean"), "centre")) - 1  # clusters only, bounded as the centres are
-    ids = size.withColumn("cluster", number)
-    best = near.join(ids, "centre").groupBy("x").agg(F.min("cluster").alias("cluster"))
-    top = F.broadcast(ids.agg((F.coalesce(F.max("cluster"), F.lit(-1)) + 1).alias("rest")))
-    every = rows.join(best, "x", "left").join(top).select(F.col("x").alias("text"), F.coalesce("cluster", "rest").alias("cluster"))
-    return every.orderBy("cluster", "text").limit(limit)
-
-
-def _distances(x: str, seg: str | None, held: list[tuple[str, str | None]]):
-    import numpy as np
-
-    bare = [h.replace(" ", "") for h, _ in held]
-    mine = x.replace(" ", "")
-    d = sm.edit_distances([mine] * len(held), bare)
-    longest = np.maximum(len(mine), [len(b) for b in bare])
-    lengths = np.array([len(b) for b in bare])
-    sim = np.where(longest > 0, np.float32(1) - (d / np.maximum(longest, 1)).astype(np.float32), np.nan).astype(float)
-    far = (np.maximum(len(mine), lengths) >= sm.LONG) & ((len(mine) > 2 * lengths) | (2 * len(mine) < lengths))
-    sim = sim * np.where(far, 0.5, 1.0)
-    tokens = (seg or "").split(" ")
-    jac = np.array([_multiset(tokens, (s or "").split(" ")) for _, s in held])
-    return 1 - np.fmax(sim, jac)
-
-
-def _multiset(a: list[str], b: list[str]) -> float:
-    from collections import Counter
-
-    common = sum((Counter(a) & Counter(b)).values())
-    return common / (len(a) + len(b) - common)
+    Only pairs within the greater distance are worked out, found by the blocking of similar pairs. The pass over the texts is made in
+    rounds: a text all of whose earlier neighbours are known to be no centres is one, and its later neighbours are none."""
+    rows = df.select(F.col(text).alias("x"), F.col(segment).alias("seg"), F.col(order).alias("o")).where("x is not null").groupBy("x").agg(F.min_by("seg", "o").alias("seg"), F.min("o").alias("o"))
+    rows = rows.withColumn("seg", F.coalesce("seg", F.lit(""))).withColumn("id", F.monotonically_increasing_id())
+    rows = rows.withColumn("q", F.replace("x", F.lit(" "), F.lit(""))).withColumn("words", F.split("seg", " "))
+    rows = materialize(rows.select("id", "x", "seg", "o", "q", F.lit("").alias("model"), costly_bag(F.col("q")).alias("cs"), bag(F.col("words")).alias("ts")), "canopy-texts")
+    far = max(t1, t2)
+    met = _block(rows, rows, None, 1 - far - 1e-6, bags=True).where("i <> j").select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct()
+    side = lambda s: rows.select(F.col("id").alias(s), *[F.col(c).alias(f"{c}{s}") for c in ("x", "q", "o", "cs", "ts")])
+    both = met.join(side("i"), "i").join(side("j"), "j")
+    # The overlap of tokens by their bags; the edit distance only where the bags of characters leave it within the bound.
+    common = F.size(F.array_intersect("tsi", "tsj"))
+    both = both.withColumn("overlap", common / (F.size("tsi") + F.size("tsj") - common)).withColumn("close", _lost("csi", "csj") <= far * F.greatest(F.length("qi"), F.length("qj")) + 1e-6)
+    both = spread(both.where(F.col("close") | (F.col("overlap") >= 1 - far - 1e-9)).drop("csi", "csj", "tsi", "tsj"))
+    edit = sm.edit_similar(F.when(F.col("close"), F.col("qi")), F.when(F.col("close"), F.col("qj")))
+    both = both.withColumn("d", 1 - F.greatest(edit, "overlap"))
+    before = F.struct("oi", "xi") < F.struct("oj", "xj")
+    links = materialize(both.where(F.col("d") <= far).select(F.when(before, F.col("i")).otherwise(F.col("j")).alias("early"), F.when(before, F.col("j")).otherwise(F.col("i")).alias("late"), "d"), "canopy-links")
+    free, left, made = rows.select("id"), links.where(F.col("d") < t2).select("early", "late"), None
+    while free.head(1):
+        now = materialize(free.join(left.select(F.col("late").alias("id")).distinct(), "id", "left_anti"), "canopy-centres")
+        made = now if made is None else made.unionByName(now)
+        gone = left.join(now.select(F.col("id").alias("early")), "early", "left_semi").select(F.col("late").alias("id")).distinct()
+        free = materialize(free.join(now, "id", "left_anti").join(gone, "id", "left_anti"), "canopy-free")
+        # Links from texts that are no centres fall away, as do all to texts that are settled.
+        left = materialize(left.join(free.select(F.col("id").alias("early")), "early", "left_semi").join(free.select(F.col("id").alias("late")), "late", "left_semi"), "canopy-left")
+    centres = rows.select("id").limit(0) if made is None else made
+    near = links.where(F.col("d") <= t1)
+    pairs = near.select(F.col("early").alias("centre"), F.col("late").alias("id")).unionByName(near.select(F.col("late").alias("centre"), F.col("early").alias("id")))
+    members = pairs.join(centres.select(F.col("id").alias("centre")), "centre", "left_semi").unionByName(centres.select(F.col("id").alias("centre"), "id"))
+    size = members.join(rows.select("id", F.length("x").alias("n")), "id").groupBy("centre").agg(F.avg("n").alias("mean"))
+    ids = numbered(size.join(rows.select(F.col("id").alias("centre"), "x"), "centre").withColumn("_down", -F.col("mean")), ["_down", "x"], "cluster").select("centre", "cluster")
+    best = members.join(ids, "centre").groupBy("id").agg(F.min("cluster").alias("cluster"))
+    rest = F.broadcast(ids.agg((F.coalesce(F.max("cluster"), F.lit(-1)) + 1).alias("rest")))  # one row
+    every = rows.join(best, "id", "left").join(rest).select(F.col("x").alias("text"), F.coalesce("cluster", "rest").alias("cluster"))
+    return every if limit is None else every.orderBy("cluster", "text").limit(limit)
 
 
 def rarest_terms(clusters: DataFrame, tokens: str) -> DataFrame:

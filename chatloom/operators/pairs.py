@@ -3,7 +3,11 @@
 A pair passes only with equal model numbers and with an edit similarity or a token overlap above the least threshold t. By the overlap, the
 common tokens weigh more than t of either text's, so that one of the rarest tokens of each, all but a share t of its weight, is common. By the
 edit similarity, fewer than (1 - t) * length edits lie between the texts, so that one of as many and one more of the longer text's rarest
-characters that cost anything is in the shorter text. Equality joins on these keys lose no pair of the full product."""
+characters that cost anything is in the shorter text. Equality joins on these keys lose no pair of the full product.
+
+The keys' rows carry signatures of a fixed width of the texts' characters and tokens (a bit for each, by hash). A bit of one side that the other
+lacks stands for a character or token that the other lacks, so that the bounds on lost characters and lost tokens are tested on numbers,
+before a pair leaves the join and before any text is fetched."""
 
 from __future__ import annotations
 
@@ -19,49 +23,84 @@ def tokens(c: Column) -> Column:
     return F.split(c, " ")
 
 
-def _rare_first(each: DataFrame, seen: DataFrame) -> DataFrame:
-    """Keys of each text with their frequency in ``seen``, to be ordered rarest first."""
-    n = seen.groupBy("key").agg(F.count("*").alias("often"))
-    return each.join(n, "key", "left").withColumn("often", F.coalesce("often", F.lit(0)))
+def signature(items: Column) -> Column:
+    """128 bits as two numbers, one bit set for each item of an array."""
+    place = F.transform(items, lambda x: F.pmod(F.xxhash64(x), F.lit(128)).cast("int"))
+    bit = lambda p, low: F.when(p.between(low, low + 63), F.call_function("shiftleft", F.lit(1).cast("long"), p - low)).otherwise(F.lit(0).cast("long"))
+    half = lambda low: F.aggregate(place, F.lit(0).cast("long"), lambda acc, p: acc.bitwiseOR(bit(p, low)))
+    return F.struct(half(0).alias("a"), half(64).alias("b"))
+
+
+def missing(one: str, two: str) -> Column:
+    """Bits of signature ``one`` that ``two`` lacks: no more than the items it lacks."""
+    return sum(F.bit_count(F.col(f"{one}.{h}").bitwiseAND(F.bitwise_not(F.col(f"{two}.{h}")))) for h in "ab")
+
+
+def costly(c: Column) -> Column:
+    """The distinct characters of a text whose loss costs an edit at least."""
+    return F.array_distinct(F.filter(F.split(F.regexp_replace(c, f"[{sm.FREE}]", ""), ""), lambda x: x != ""))
+
 
+def bag(items: Column) -> Column:
+    """Items told apart by their occurrence: the n-th of its kind."""
+    return F.transform(items, lambda x, i: F.concat(x, F.size(F.filter(F.slice(items, 1, i + 1), lambda y: y == x)).cast("string")))
 
-def _token_keys(side: DataFrame, seg: str, domain: list[str] | None) -> DataFrame:
-    t = tokens(F.col(seg))
-    words = side.select("id", "model", F.explode(F.array_distinct(t)).alias("key"), t.alias("all"))
-    weight = F.size(F.filter("all", lambda x: x == F.col("key"))) if domain is None else F.when(F.col("key").isin(domain or [""]), 3).otherwise(1)
-    return words.select("id", "model", "key", weight.alias("w"))
 
+def costly_bag(c: Column) -> Column:
+    return bag(F.filter(F.split(F.regexp_replace(c, f"[{sm.FREE}]", ""), ""), lambda x: x != ""))
 
-def _char_keys(side: DataFrame, q: str) -> DataFrame:
-    costly = F.regexp_replace(q, f"[{sm.FREE}]", "")
-    chars = F.array_distinct(F.filter(F.split(costly, ""), lambda c: c != ""))
-    return side.select("id", "model", F.length(q).alias("n"), F.size(chars).alias("m"), F.explode_outer(chars).alias("key"))
 
+def _described(side: DataFrame, domain: list[str] | None, t: float, bags: bool) -> DataFrame:
+    """What the bounds need of each text, in numbers: n characters and ``edits`` that are allowed if it is the longer one, signatures of
+    characters and tokens, the weight of tokens that may be lost, and m characters (with ``bags``) that cost something."""
+    words = tokens(F.col("seg"))
+    kinds = F.array_distinct(words)
+    weight = F.size(words) if domain is None else F.aggregate(kinds, F.lit(0), lambda acc, x: acc + F.when(x.isin(domain or [""]), 3).otherwise(1))
+    n = F.length("q")
+    edits = F.floor((1 - t) * n + F.lit(1e-6)).cast("int")
+    return side.select("id", "model", n.alias("n"), edits.alias("edits"), costly(F.col("q")).alias("chars"), words.alias("words"), kinds.alias("kinds"), signature((costly_bag if bags else costly)(F.col("q"))).alias("cs"), signature(bag(words) if bags else kinds).alias("ts"), (F.size(costly_bag(F.col("q"))) if bags else F.lit(0)).alias("m"), ((1 - t) * weight + 1e-9).alias("spare"), weight.alias("weight"))
 
-def _block(one: DataFrame, two: DataFrame, domain: list[str] | None, t: float) -> DataFrame:
-    """Pairs of numbers (i of ``one``, j of ``two``) that share a key. one, two: id, model, q, seg (q without blanks)."""
+
+_NUMBERS = ["n", "edits", "cs", "ts", "spare", "m"]
+
+
+def _often(each: DataFrame, seen: DataFrame) -> DataFrame:
+    """Keys of each text with their frequency in ``seen``, to be ordered rarest first."""
+    n = seen.groupBy("key").agg(F.count("*").alias("often"))
+    return each.join(n, "key", "left").withColumn("often", F.coalesce("often", F.lit(0)))
+
+
+def _block(one: DataFrame, two: DataFrame, domain: list[str] | None, t: float, bags: bool = False) -> DataFrame:
+    """Pairs of numbers (i of ``one``, j of ``two``) that share a key and that the signatures leave. one, two: id, model, q, seg (q without
+    blanks). With ``bags`` repeated characters and tokens count each: for similarities of the texts as they are and multisets of tokens."""
     order = W.partitionBy("id").orderBy("often", "key")
+    one, two = (_described(side, domain, t, bags) for side in (one, two))
+    words = lambda side: side.select("id", "model", *_NUMBERS, "weight", "words", F.explode("kinds").alias("key"))
+    chars = lambda side: side.select("id", "model", *_NUMBERS, F.explode("chars").alias("key"))
 
     def token_prefix(side: DataFrame, seen: DataFrame) -> DataFrame:
-        rows = _rare_first(_token_keys(side, "seg", domain), seen)
-        rows = rows.withColumn("before", F.coalesce(F.sum("w").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).withColumn("whole", F.sum("w").over(W.partitionBy("id")))
-        return rows.where(F.col("before") <= (1 - t) * F.col("whole") + 1e-9).select("id", "model", "key")
+        w = F.size(F.filter("words", lambda x: x == F.col("key"))) if domain is None else F.when(F.col("key").isin(domain or [""]), 3).otherwise(1)
+        rows = _often(words(side).withColumn("w", w).drop("words"), seen).withColumn("before", F.coalesce(F.sum("w").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+        return rows.where(F.col("before") <= (1 - t) * F.col("weight") + 1e-9).select("id", "model", "key", *_NUMBERS)
+
+    any_key = lambda side: side.select("id", "model", F.lit("any").alias("key"), *_NUMBERS)
 
     def char_prefix(side: DataFrame, seen: DataFrame) -> DataFrame:
-        edits = F.floor((1 - t) * F.col("n") + F.lit(1e-6))
-        rows = _rare_first(_char_keys(side, "q").where("key is not null"), seen).withColumn("place", F.row_number().over(order))
-        few = _char_keys(side, "q").select("id", "model", "n", "m").distinct().where(F.col("m") <= edits).select("id", "model", "n", F.lit("any").alias("key"))
-        return rows.where(F.col("place") <= edits + 1).select("id", "model", "n", "key").unionByName(few)
+        rows = _often(chars(side), seen).withColumn("place", F.row_number().over(order))
+        return rows.where(F.col("place") <= F.col("edits") + 1).select("id", "model", "key", *_NUMBERS).unionByName(any_key(side.where(F.size("chars") <= F.col("edits"))))
 
     def all_chars(side: DataFrame) -> DataFrame:
-        every = _char_keys(side, "q")
-        return every.where("key is not null").select("id", "model", "n", "key").unionByName(every.select("id", "model", "n", F.lit("any").alias("key")).distinct())
-
-    seen_tokens, seen_chars = _token_keys(two, "seg", domain), _char_keys(two, "q")
-    named = lambda d, i, n=None: d.select("model", "key", F.col("id").alias(i), *([F.col("n").alias(n)] if n else []))
-    by_token = named(token_prefix(one, seen_tokens), "i").join(named(token_prefix(two, seen_tokens), "j"), ["model", "key"]).select("i", "j")
-    left_long = named(char_prefix(one, seen_chars), "i", "ni").join(named(all_chars(two), "j", "nj"), ["model", "key"]).where("ni >= nj").select("i", "j")
-    right_long = named(char_prefix(two, seen_chars), "j", "nj").join(named(all_chars(one), "i", "ni"), ["model", "key"]).where("nj >= ni").select("i", "j")
+        return chars(side).select("id", "model", "key", *_NUMBERS).unionByName(any_key(side))
+
+    named = lambda d, s: d.select("model", "key", F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in _NUMBERS])
+    lost = lambda c: F.greatest(missing(f"{c}_i", f"{c}_j"), missing(f"{c}_j", f"{c}_i"))
+    near = (lost("cs") <= F.greatest("edits_i", "edits_j")) & (F.abs(F.col("m_i") - F.col("m_j")) <= F.greatest("edits_i", "edits_j"))
+    alike = (missing("ts_i", "ts_j") <= F.col("spare_i")) & (missing("ts_j", "ts_i") <= F.col("spare_j"))
+    met = lambda x, y, keep: named(x, "i").join(named(y, "j"), ["model", "key"]).where(keep).select("i", "j")
+    seen_words, seen_chars = words(two).select("key"), chars(two).select("key")
+    by_token = met(token_prefix(one, seen_words), token_prefix(two, seen_words), alike)
+    left_long = met(char_prefix(one, seen_chars), all_chars(two), (F.col("n_i") >= F.col("n_j")) & near)
+    right_long = met(all_chars(one), char_prefix(two, seen_chars), (F.col("n_j") >= F.col("n_i")) & near)
     return by_token.unionByName(left_long).unionByName(right_long).distinct()
 
 
@@ -80,13 +119,12 @@ def candidate_pairs(yesterday: DataFrame, recent: DataFrame, differ: bool = Fals
     pairs = met.join(left, "i").join(right, "j").where(agree)
     if differ:
         pairs = pairs.where(F.trim("q1") != F.trim("q2"))
-    # The overlap of characters and the lengths once more, now that both texts are at hand: most short-long pairs go here.
+    # The characters and tokens themselves, now that both texts are at hand.
     a, b = (F.replace(q, F.lit(" "), F.lit("")) for q in ("q1", "q2"))
     edits = F.floor((1 - least) * F.greatest(F.length(a), F.length(b)) + F.lit(1e-6))
-    costly = lambda c: F.array_distinct(F.split(F.regexp_replace(c, f"[{sm.FREE}]", ""), ""))
     lost = F.greatest(F.size(F.array_except(costly(a), costly(b))), F.size(F.array_except(costly(b), costly(a))))
     overlap = sm.jaccard(tokens(F.col("seg1")), tokens(F.col("seg2"))) if domain is None else sm.domain_jaccard(tokens(F.col("seg1")), tokens(F.col("seg2")), domain)
-    return pairs.where((lost <= edits + 1) | (overlap > least)).select("q1", "seg1", "q2", "seg2")
+    return pairs.where((lost <= edits) | (overlap > least)).select("q1", "seg1", "q2", "seg2")
 
 
 def spread(df: DataFrame) -> DataFrame:

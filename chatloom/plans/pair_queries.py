@@ -167,8 +167,8 @@ _add("knn_recommend", lambda s, d: ra.knn_recommend(_samples(s, d)), f"with {_VO
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as a classifier writes them, made from the log."""
     rows = _log(spark, sf_dir).where("faq_name <> '' and question <> '' and not contains(question, chr(9))")
-    best = rows.groupBy("question").agg(F.slice(F.array_sort(F.collect_set("faq_name")), 1, 3).alias("faqs"))
-    return best.select(F.concat(F.col("question"), F.lit("\tx\t"), F.array_join(F.transform("faqs", lambda f, i: F.concat((F.lit(0.5) - i.cast("double") * 0.125).cast("string"), F.lit(","), f)), "|")).alias("line"))
+    best = rows.groupBy("question").agg(F.array_sort(F.collect_set("faq_name")).alias("faqs"))
+    return best.select(F.concat(F.col("question"), F.lit("\tx\t"), F.array_join(F.transform("faqs", lambda f, i: F.concat((F.lit(0.5) - i.cast("double") * 0.0009765625).cast("string"), F.lit(","), f)), "|")).alias("line"))
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +176,7 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir).select(question.alias("question"), F.explode(made).alias("p")).select("question", "p.faq", "p.score")
 
 
-_PARSED = "pa as (select question, list_sort(list_distinct(list(faq_name)))[:3] as faqs from robot_log where faq_name <> '' and question <> '' and not contains(question, chr(9)) group by 1), pl as (select question, faqs[i] as faq, 0.5::double - (i - 1) * 0.125::double as score from (select question, faqs, unnest(range(1, len(faqs) + 1)) as i from pa))"
+_PARSED = "pa as (select question, list_sort(list_distinct(list(faq_name))) as faqs from robot_log where faq_name <> '' and question <> '' and not contains(question, chr(9)) group by 1), pl as (select question, faqs[i] as faq, 0.5::double - (i - 1) * 0.0009765625::double as score from (select question, faqs, unnest(range(1, len(faqs) + 1)) as i from pa))"
 _add("parse_ranked_lines", _parsed, f"with {_PARSED} select question, faq, score from pl")
 _add("parse_labels", lambda s, d: _log(s, d).where("faq_name <> ''").select("log_id", F.concat(F.lit("__label__"), F.replace("faq_name", F.lit(" "), F.lit("_sp_")), F.lit(" 0.75 __label__other_sp_name 0.25")).alias("line")).select("log_id", F.explode(ra.parse_labels(F.col("line"))).alias("p")).select("log_id", "p.faq", "p.score"),
      "select log_id, faq_name as faq, 0.75::double as score from robot_log where faq_name <> '' union all select log_id, 'other name', 0.25::double from robot_log where faq_name <> ''")
@@ -249,7 +249,9 @@ _add("cluster_ids", lambda s, d: _FIXED(s, d).select("text", cl.cluster_id("grou
 _add("rarest_terms", lambda s, d: cl.rarest_terms(_FIXED(s, d).withColumn("tokens", segment.tokenize(F.col("text"), "char")), "tokens"), """with t as (select distinct platform as "group", answer_type as cluster, question as text from robot_log where question is not null),
   w as (select distinct "group", cluster, text, unnest(regexp_extract_all(text, '[一-龥]|[a-zA-Z0-9]+')) as term from t), n as (select *, count(*) over (partition by "group", cluster, term) as n from w where term <> '')
   select "group", cluster, text, arg_max(term, row(-n, term)) as term from n group by 1, 2, 3""")
-_add("canopy", lambda s, d: cl.canopy(table(s, d, "std_question").withColumn("seg", F.array_join(segment.tokenize(F.col("question"), "char"), " ")), "question", "seg", "std_id", 0.6, 0.5))
+_asked = lambda s, d: _log(s, d).where("question is not null").groupBy("question").agg(F.min("log_id").alias("first")).withColumn("seg", F.array_join(segment.tokenize(F.col("question"), "char"), " "))
+# Which cluster a text is in depends on all texts before it; each is in one.
+_add("canopy", lambda s, d: cl.canopy(_asked(s, d), "question", "seg", "first", 0.4, 0.3).groupBy("text").agg(F.count("*").alias("n"), F.min("cluster").alias("cluster")).select("text", "n", (F.col("cluster") >= 0).alias("placed")), "select question as text, 1 as n, true as placed from robot_log where question is not null group by 1")
 # Each costly character of one text that the other lacks is an edit: such pairs go before the distance is worked out.
 _SIMILAR = f"""with g as (select *, list_distinct(string_split(regexp_replace(x, '[{sm.FREE}]', '', 'g'), '')) as cs, length(regexp_replace(x, '[{sm.FREE}]', '', 'g')) as m from {_GROUPED}),
   c as (select l."group", l.x as a, r.x as b from g l join g r on l."group" = r."group" and l.x < r.x and 5 * abs(l.m - r.m) <= greatest(length(l.x), length(r.x))
@@ -295,15 +297,15 @@ _add("tfidf", lambda s, d: mi.tfidf(_TOK(s, d), "log_id", "t", mi.vocabulary(_TO
   select log_id as doc, term, round(k.n / length * coalesce(idf, 3.76::double), 9) as weight from k join l using (log_id) left join vo using (term)""")
 _add("filtered_tokens", lambda s, d: mi.filtered_tokens(table(s, d, "documents"), "text", ["the", "and", "you"], 1), """with w as (select unnest(string_split_regex(lower(text), '[^a-zA-Z0-9_]+')) as term from documents)
   select term, count(*) as n from w where length(term) >= 2 and not regexp_matches(term, '[0-9]') and term not in ('the', 'and', 'you') group by 1 having count(*) > 1""")
-_STD = lambda s, d: table(s, d, "std_question").select("std_id", segment.tokenize(F.col("question"), "char").alias("t"))
 _CHARS = "regexp_extract_all(question, '[一-龥]|[a-zA-Z0-9]+')"
-_add("term_cosines", lambda s, d: pr.term_cosines(_STD(s, d), "std_id", "t").withColumn("cosine", F.round("cosine", 7)), f"""with t as (select std_id, {_CHARS} as t from std_question), w as (select std_id, len(t) as words, unnest(t) as term from t),
-  f as (select std_id, term, count(*)::double / nullif(any_value(words) - 1, 0) as tf from w group by 1, 2), k as (select * from f where tf is not null), q as (select term, count(*) as df from k group by 1),
-  x as (select std_id, term, tf * log10((select count(*) from t)::double / df) as w from k join q using (term)), y as (select * from x where w > 0), n as (select term, sqrt(sum(w * w)) as norm from y group by 1),
-  z as (select l.term as term_a, r.term as term_b, sum(l.w * r.w) as dot from y l join y r on l.std_id = r.std_id and l.term > r.term group by 1, 2)
+_DOCS = lambda s, d: _log(s, d).where("segment is not null").select("log_id", F.filter(F.split("segment", "[ \t　]+"), lambda t: t != "").alias("t"))
+_add("term_cosines", lambda s, d: pr.term_cosines(_DOCS(s, d), "log_id", "t").withColumn("cosine", F.round("cosine", 7)), """with t as (select log_id, list_filter(string_split_regex(segment, '[ \t　]+'), lambda v: v <> '') as t from robot_log where segment is not null), w as (select log_id, len(t) as words, unnest(t) as term from t),
+  f as (select log_id, term, count(*)::double / nullif(any_value(words) - 1, 0) as tf from w group by 1, 2), k as (select * from f where tf is not null), q as (select term, count(*) as df from k group by 1),
+  x as (select log_id, term, tf * log10((select count(*) from t)::double / df) as w from k join q using (term)), y as (select * from x where w > 0), n as (select term, sqrt(sum(w * w)) as norm from y group by 1),
+  z as (select l.term as term_a, r.term as term_b, sum(l.w * r.w) as dot from y l join y r on l.log_id = r.log_id and l.term > r.term group by 1, 2)
   select term_a, term_b, round(dot / (na.norm * nb.norm), 7) as cosine from z join n na on na.term = term_a join n nb on nb.term = term_b""")
-_add("vector_cosine", lambda s, d: table(s, d, "embeddings").join(F.broadcast(table(s, d, "embeddings").orderBy("vec_id").limit(1).select(F.col("embedding").alias("first")))).select("vec_id", F.round(pr.vector_cosine(F.col("embedding"), F.col("first")), 6).alias("cosine")),
-     "select vec_id, round(list_cosine_similarity(embedding::double[], (select embedding from embeddings order by vec_id limit 1)::double[]), 6) as cosine from embeddings")
+_add("vector_cosine", lambda s, d: table(s, d, "embeddings").join(table(s, d, "embeddings").select((F.col("vec_id") + 1).alias("vec_id"), F.col("embedding").alias("last")), "vec_id").select("vec_id", F.round(pr.vector_cosine(F.col("embedding"), F.col("last")), 6).alias("cosine")),
+     "select b.vec_id, round(list_cosine_similarity(b.embedding::double[], a.embedding::double[]), 6) as cosine from embeddings a join embeddings b on b.vec_id = a.vec_id + 1")
 _add("tokens_char", lambda s, d: _log(s, d).select("log_id", segment.tokenize(F.col("question"), "char").alias("tokens")), f"select log_id, {_CHARS} as tokens from robot_log")
 _add("tokens_bigram", lambda s, d: _log(s, d).select("log_id", segment.tokenize(F.col("question"), "cjk_bigram").alias("tokens")), "select log_id, flatten(list_transform(regexp_extract_all(question, '[一-龥]+|[a-zA-Z0-9]+'), lambda r: case when regexp_matches(r, '^[一-龥]{2,}') then list_transform(range(1, length(r)), lambda i: substr(r, i, 2)) else [r] end)) as tokens from robot_log")
 _INK = r"[^\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"

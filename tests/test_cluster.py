@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,10 +53,9 @@ def test_density_clusters_in_rounds(spark, seed):
     assert read(50) == want and {f for *_, f in want} == {0, 1} and len(want) == len({r for r in rows if r[1]})
 
 
-def test_large_group_is_not_refused(spark, monkeypatch):
-    monkeypatch.setattr(cl, "MAX_GROUP", 0)  # what the bound of one task came from
+def test_large_group_is_not_refused(spark):
     df = spark.createDataFrame([("g", "aaaaaaaaaa"), ("g", "aaaaaaaaab")], "g string, t string")
-    assert cl.density_clusters(df, "g", "t", 0.85).count() == 2
+    assert cl.density_clusters(df, "g", "t", 0.85, most=0).count() == 2
 
 
 def test_canopy(spark):
@@ -64,6 +64,51 @@ def test_canopy(spark):
     assert got["怎么安装手机"] == got["怎么安装手机呢"] != got["退款多久到账"] and len(got) == 3
 
 
+def sequential(rows, t1, t2):
+    """rows: order, text, segment. The plain statement of canopies."""
+    from collections import Counter
+
+    def far(p, q):
+        x, y = (z.replace(" ", "") for z in (p[1], q[1]))
+        a, b = (Counter((z[2] or "").split(" ")) for z in (p, q))
+        both = sum((a & b).values())
+        jac = both / (sum(a.values()) + sum(b.values()) - both)
+        if not x and not y:
+            return 1 - jac
+        edit = np.float32(1) - np.float32(float(sm.edit_distances([x], [y])[0]) / max(len(x), len(y)))  # the rule's 32-bit ratio
+        half = max(len(x), len(y)) >= 8 and (len(x) > 2 * len(y) or 2 * len(x) < len(y))
+        return 1 - max(float(edit) * (0.5 if half else 1.0), jac)
+
+    first = {}
+    for r in sorted((r for r in rows if r[1] is not None), key=lambda r: r[0]):
+        first.setdefault(r[1], r)
+    texts, centres = sorted(first.values(), key=lambda r: (r[0], r[1])), []
+    for r in texts:
+        if all(far(r, c) >= t2 for c in centres):
+            centres.append(r)
+    of = {c[1]: [r[1] for r in texts if r is c or far(r, c) <= t1] for c in centres}
+    order = sorted(of, key=lambda c: (-sum(map(len, of[c])) / len(of[c]), c))
+    out = {r[1]: len(order) for r in texts}
+    for k in range(len(order) - 1, -1, -1):
+        out |= dict.fromkeys(of[order[k]], k)
+    return out
+
+
+@pytest.mark.parametrize(("t1", "t2", "seed"), [(0.4, 0.4, 1), (0.6, 0.5, 2), (0.3, 0.6, 3)])
+def test_canopy_against_the_sequential_pass(spark, t1, t2, seed):
+    rnd = random.Random(seed)
+    words = ["怎么", "安装", "手机", "a1", "的", "和", "不", "最", "打不开", "了"]
+    rows = [(5, "", None), (6, "的的", ""), (7, "x" * 300, "x"), (8, None, "n")]
+    for k in range(130):
+        pick = [rnd.choice(words) for _ in range(rnd.randint(1, 6))]
+        rows.append((rnd.randrange(40), rnd.choice(["", " "]).join(pick), rnd.choice([" ".join(pick), " ".join(pick[:2]), None])))
+    rows = [(o * 1000 + k, x, s) for k, (o, x, s) in enumerate(rows)]  # no ties between different rows of one text
+    df = spark.createDataFrame(rows, "o int, q string, s string")
+    got = {r.text: r.cluster for r in cl.canopy(df, "q", "s", "o", t1, t2).collect()}
+    assert got == sequential(rows, t1, t2) and len(set(got.values())) > 3
+    assert cl.canopy(df, "q", "s", "o", t1, t2, 10).count() == 10 and cl.canopy(df.limit(0), "q", "s", "o", t1, t2).collect() == []
+
+
 def test_rarest_terms_and_ids(spark):
     df = spark.createDataFrame([(1, 0, "a", ["x", "y"]), (1, 0, "b", ["x"]), (1, 0, "c", ["x", "z"])], "group int, cluster int, text string, tokens array<string>")
     assert {r.text: r.term for r in cl.rarest_terms(df, "tokens").collect()} == {"a": "y", "b": "x", "c": "z"}
