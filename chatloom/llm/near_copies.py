@@ -11,6 +11,7 @@ minima is the number of bits two points share.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,10 +28,12 @@ WORDS = GROUPS * LEVELS // 64
 #: Buckets of the token frequencies by which tokens are ordered, rarest first. Any fixed order is right; rare first is fast. The driver
 #: holds this many counts at most.
 FREQUENCY_BITS = 20
-#: Points in a leaf of the tree.
-LEAF = 64
+#: Points in a leaf of the tree, and nodes in a node above.
+LEAF, FAN = 32, 8
 #: Entries of one token above which they are spread over a triangle of cells.
 CELL = 1 << 15
+#: Tokens of all records for each partition of entries.
+PART_TOKENS = 1 << 22
 #: Characters of texts taken apart at once, and pairs compared at once.
 BLOCK_CHARS = 1 << 19
 BLOCK_PAIRS = 1 << 18
@@ -161,18 +164,20 @@ def _cells(h: np.ndarray, ids: np.ndarray, cells: np.ndarray) -> tuple[np.ndarra
 
 
 class Entries:
-    """Entries in the order of token and size."""
+    """Entries in the order of token and size. rest: the tokens of a record from the entry's token on, which bound what it can share if that
+    is the first token shared."""
 
     def __init__(self, t: pa.Table):
         get = lambda n: t.column(n).to_numpy()
-        self.token, self.side, self.id, self.size, self.place, self.excess = (get(n) for n in ("token", "side", "id", "size", "place", "excess"))
+        self.token, self.side, self.id, self.size, self.excess = (get(n) for n in ("token", "side", "id", "size", "excess"))
+        self.rest = self.size - get("place")
         self.point = np.frombuffer(b"".join(t.column("point").to_pylist()), np.uint64).reshape(-1, WORDS)
 
     def bounded(self, i: np.ndarray, j: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
-        """Of the pairs i, j (size i <= size j) those whose bounds reach the needed overlap."""
+        """Of the pairs i, j those whose bounds reach the needed overlap."""
         a, b = self.size[i], self.size[j]
         need = needed(a, b, t)
-        ok = (a >= t * b - 1e-9) & (np.minimum(a - self.place[i], b - self.place[j]) >= need) & (self.id[i] != self.id[j])
+        ok = (np.minimum(a, b) >= t * np.maximum(a, b) - 1e-9) & (np.minimum(self.rest[i], self.rest[j]) >= need) & (self.id[i] != self.id[j])
         ok &= (self.side[i] != self.side[j]) | (self.side[i] == 0)
         i, j, need = i[ok], j[ok], need[ok]
         minima = np.bitwise_count(self.point[i] & self.point[j]).sum(1, dtype=np.int64) + np.minimum(self.excess[i], self.excess[j])
@@ -180,27 +185,69 @@ class Entries:
         return i[ok], j[ok]
 
 
+class Nodes:
+    """One level of a tree: of each node the coordinate maxima of its points (in unary: the bits any of them has), the greatest excess and
+    rest, and the least and greatest size."""
+
+    def __init__(self, point: np.ndarray, excess: np.ndarray, rest: np.ndarray, least: np.ndarray, most: np.ndarray, fan: int):
+        at = np.arange(0, len(excess), fan)
+        self.point = np.bitwise_or.reduceat(point, at, axis=0)
+        self.excess, self.rest = np.maximum.reduceat(excess, at), np.maximum.reduceat(rest, at)
+        self.least, self.most = np.minimum.reduceat(least, at), np.maximum.reduceat(most, at)
+
+    def above(self) -> Nodes:
+        return Nodes(self.point, self.excess, self.rest, self.least, self.most, FAN)
+
+    def reach(self, x: np.ndarray, y: np.ndarray, t: float) -> np.ndarray:
+        """Of the pairs of nodes those of which two points may reach the needed overlap."""
+        need = needed(self.least[x], self.least[y], t)
+        ok = (np.minimum(self.rest[x], self.rest[y]) >= need) & (self.most[x] >= t * self.least[y] - 1e-9) & (self.most[y] >= t * self.least[x] - 1e-9)
+        k = np.flatnonzero(ok)
+        minima = np.bitwise_count(self.point[x[k]] & self.point[y[k]]).sum(1, dtype=np.int64) + np.minimum(self.excess[x[k]], self.excess[y[k]])
+        return k[minima >= need[k]]
+
+
+def _packed(e: Entries, lo: int, hi: int) -> np.ndarray:
+    """The order of one token's entries in the leaves, by tiles: strips of like size, in which entries follow by their rest."""
+    m = hi - lo
+    strips = math.ceil(math.sqrt(-(-m // LEAF)))
+    wide = -(-m // (strips * LEAF)) * LEAF
+    return lo + np.lexsort((-e.rest[lo:hi], np.arange(m) // wide))
+
+
 def _tree(e: Entries, lo: int, hi: int, t: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one token's entries through a tree packed by size: leaves of LEAF points, nodes bounded by their coordinate maxima."""
-    starts = np.arange(lo, hi, LEAF)
-    ends = np.minimum(starts + LEAF, hi)
-    # In unary, the coordinate maxima of a node are the bits any of its points has.
-    box = np.bitwise_or.reduceat(e.point[lo:hi], starts - lo, axis=0)
-    excess = np.maximum.reduceat(e.excess[lo:hi], starts - lo)
-    least, most = e.size[starts], e.size[ends - 1]
-    for k in range(len(starts)):
-        bound = np.bitwise_count(box[: k + 1] & box[k]).sum(1, dtype=np.int64) + np.minimum(excess[: k + 1], excess[k])
-        keep = np.flatnonzero((bound >= needed(least[: k + 1], least[k], t)) & (most[: k + 1] >= t * least[k] - 1e-9))
-        j = np.arange(starts[k], ends[k])
-        for m in range(0, len(keep), BLOCK_PAIRS // (LEAF * LEAF)):
-            i = np.concatenate([np.arange(starts[x], ends[x]) for x in keep[m : m + BLOCK_PAIRS // (LEAF * LEAF)]])
-            left, right = np.repeat(i, len(j)), np.tile(j, len(i))
-            before = left < right
-            yield e.bounded(left[before], right[before], t)
+    """Pairs of one token's entries through a tree: leaves of LEAF points, FAN nodes in each node above, walked against itself from the
+    root down; only pairs of nodes that may hold a pair of points are opened."""
+    order = _packed(e, lo, hi)
+    size = e.size[order]
+    levels = [Nodes(e.point[order], e.excess[order], e.rest[order], size, size, LEAF)]
+    while len(levels[-1].least) > 1:
+        levels.append(levels[-1].above())
+    # Depth first in blocks, so that what is open at once stays bounded.
+    todo = [(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    block = BLOCK_PAIRS // (LEAF * LEAF)
+    while todo:
+        k, x, y = todo.pop()
+        keep = levels[k].reach(x, y, t)
+        x, y = x[keep], y[keep]
+        if k == 0:
+            for s in range(0, len(x), block):
+                i = x[s : s + block, None, None] * LEAF + np.arange(LEAF)[None, :, None]
+                j = y[s : s + block, None, None] * LEAF + np.arange(LEAF)[None, None, :]
+                i, j = np.broadcast_arrays(i, j)
+                ok = (i < j) & (j < len(order))
+                yield e.bounded(order[i[ok]], order[j[ok]], t)
+            continue
+        n = len(levels[k - 1].least)
+        for s in range(0, len(x), BLOCK_PAIRS // (FAN * FAN)):
+            part = slice(s, s + BLOCK_PAIRS // (FAN * FAN))
+            i, j = np.broadcast_arrays(x[part, None, None] * FAN + np.arange(FAN)[None, :, None], y[part, None, None] * FAN + np.arange(FAN)[None, None, :])
+            ok = (i <= j) & (j < n)
+            todo.append((k - 1, i[ok], j[ok]))
 
 
 def candidates(e: Entries, t: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of entries of complete tokens. Tokens of one leaf's size are worked side by side, the others by their trees."""
+    """Pairs of entries of complete tokens. Tokens that fill no more than a leaf are worked side by side, the others by their trees."""
     n = len(e.token)
     start = np.flatnonzero(np.concatenate(([True], e.token[1:] != e.token[:-1])))
     length = np.diff(np.concatenate((start, [n])))
@@ -288,7 +335,8 @@ def near_copies(df: DataFrame, key: str, text: str, t: float = 0.8, width: int =
     def entries(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _entries(width, t, shared.value.astype(np.int64))(it)
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A record has entries for a part of its tokens; their counted number keeps the partitions of a bounded size.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(frequency.sum()) // PART_TOKENS))
     routed = classes.mapInArrow(entries, ENTRIES).repartition(parts, "token").sortWithinPartitions("token", "size", "id")
     pairs = routed.mapInArrow(_join(t), "a long, b long").distinct()
     side = lambda s: classes.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}"))
@@ -306,6 +354,11 @@ def p6_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _questions(spark, sf_dir)[1].withColumn("similarity", F.round("similarity", 9))
 
 
+def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of equal questions of every row."""
+    return _questions(spark, sf_dir)[0]
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of rows, as TESTDATA.md asks: links expanded to the classes' rows, and equal questions."""
     members, links = _questions(spark, sf_dir)
@@ -317,12 +370,15 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SPACE = r"[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-SQL = {
-    "p6_found": f"""with r as (select log_id, regexp_replace(question, '{_SPACE}', '', 'g') as x from robot_log where question is not null),
-      s as (select log_id, x, dense_rank() over (order by x) as c from r where length(x) >= 40),
-      g as (select c, unnest(list_distinct(list_transform(range(1, length(x) - 1), lambda i: substr(x, i, 3)))) as g from (select distinct c, x from s)),
+_CLASSED = f"""r as (select log_id, regexp_replace(question, '{_SPACE}', '', 'g') as x from robot_log where question is not null),
+      s as (select log_id, x, min(log_id) over (partition by x) as c from r where length(x) >= 40)"""
+_SHARED = f"""{_CLASSED}, g as (select c, unnest(list_distinct(list_transform(range(1, length(x) - 1), lambda i: substr(x, i, 3)))) as g from (select distinct c, x from s)),
       n as (select c, count(*) as n from g group by 1), b as (select l.c as a, r.c as b, count(*) as k from g l join g r on l.g = r.g and l.c < r.c group by 1, 2),
-      p as (select a, b from b join n x on x.c = a join n y on y.c = b where k * 10 >= 6 * (x.n + y.n - k) union all select distinct c, c from s)
-      select distinct least(l.log_id, r.log_id) as log_id_a, greatest(l.log_id, r.log_id) as log_id_b from p join s l on l.c = a join s r on r.c = b where l.log_id <> r.log_id""",
+      p as (select a, b, k::double / (x.n + y.n - k) as similarity from b join n x on x.c = a join n y on y.c = b where k * 10 >= 6 * (x.n + y.n - k))"""
+SQL = {
+    "p6_classes": f"with {_CLASSED} select log_id, c as class_id from s",
+    "p6_links": f"with {_SHARED} select a, b, round(similarity, 9) as similarity from p",
+    "p6_found": f"""with {_SHARED}, e as (select a, b from p union all select distinct c, c from s)
+      select distinct least(l.log_id, r.log_id) as log_id_a, greatest(l.log_id, r.log_id) as log_id_b from e join s l on l.c = a join s r on r.c = b where l.log_id <> r.log_id""",
 }
-QUERIES = {"p6_links": p6_links, "p6_found": p6_found}
+QUERIES = {"p6_links": p6_links, "p6_classes": p6_classes, "p6_found": p6_found}

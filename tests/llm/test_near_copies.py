@@ -60,6 +60,29 @@ def test_empty(spark):
     assert members.collect() == [] and links.collect() == []
 
 
+@pytest.mark.parametrize(("leaf", "fan"), [(4, 2), (8, 3), (32, 8)])
+def test_trees_open_all_pairs_that_the_bounds_leave(monkeypatch, leaf, fan):
+    import pyarrow as pa
+
+    monkeypatch.setattr(nc, "LEAF", leaf)
+    monkeypatch.setattr(nc, "FAN", fan)
+    rng = np.random.default_rng(leaf)
+    m = 700
+    size = np.sort(rng.integers(20, 90, m))
+    sets = [rng.choice(200, n, replace=False) if k % 3 else np.arange(n) for k, n in enumerate(size)]
+    h = nc._mixed(np.concatenate(sets).astype(np.uint64))
+    point, excess = nc.points(h, size)
+    table = pa.table({
+        "token": np.zeros(m, np.int64), "side": np.zeros(m, np.int32), "id": np.arange(m), "size": size.astype(np.int32), "place": (rng.random(m) * 0.4 * size).astype(np.int32),
+        "excess": excess.astype(np.int32), "point": [p.tobytes() for p in point],
+    })
+    e = nc.Entries(table)
+    i, j = np.triu_indices(m, 1)
+    want = set(zip(*(x.tolist() for x in e.bounded(i, j, 0.6))))
+    met = [p for a, b in nc._tree(e, 0, m, 0.6) for p in zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())]
+    assert len(met) == len(set(met)) and set(met) == want and len(want) > 1000
+
+
 def test_cells_bring_every_pair_together_once():
     ids = np.arange(50, dtype=np.int64)
     token, side, pick = nc._cells(np.full(50, 7, np.uint64), ids, np.full(50, 4))
