@@ -36,13 +36,32 @@ def _costs(codes: np.ndarray) -> np.ndarray:
     return cost
 
 
-def edit_distances(a: list[str], b: list[str]) -> np.ndarray:
-    """Weighted distances of texts side by side."""
+def _least_distances(ca: np.ndarray, cb: np.ndarray, wa: np.ndarray, wb: np.ndarray) -> np.ndarray:
+    """A lower bound of distances: the characters that cost something in one text beyond those in the other, counted by hash."""
+
+    def counts(codes: np.ndarray, cost: np.ndarray) -> np.ndarray:
+        slot = (codes * np.uint32(2654435761)) >> np.uint32(26)
+        at = np.arange(len(codes))[:, None] * 64 + slot
+        return np.bincount(at[(codes > 0) & (cost > 0)], minlength=len(codes) * 64).reshape(-1, 64)
+
+    more = counts(ca, wa) - counts(cb, wb)
+    return np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1))
+
+
+def edit_distances(a: list[str], b: list[str], share: float | None = None) -> np.ndarray:
+    """Weighted distances of texts side by side. With ``share`` NaN stands where a bound shows more than that share of the longer length."""
     if not a:
         return np.empty(0, np.float32)
     na, nb = np.array([len(x) for x in a]), np.array([len(x) for x in b])
     ca, cb = _codes(a, max(1, na.max())), _codes(b, max(1, nb.max()))
     wa, wb = _costs(ca), _costs(cb)
+    if share is not None:
+        near = _least_distances(ca, cb, wa, wb) <= share * np.maximum(na, nb) + 1e-6
+        if not near.all():
+            out = np.full(len(a), np.nan, np.float32)
+            some = np.flatnonzero(near)
+            out[some] = edit_distances([a[k] for k in some], [b[k] for k in some])
+            return out
     wb_row = np.concatenate((np.zeros((len(b), 1), np.float32), np.cumsum(wb, axis=1, dtype=np.float32)), axis=1)
     row = wb_row.copy()
     out = np.where(na == 0, row[np.arange(len(b)), nb], np.float32(0))
@@ -62,7 +81,7 @@ def edit_distances(a: list[str], b: list[str]) -> np.ndarray:
     return out
 
 
-def _distance_batch(a: pd.Series, b: pd.Series) -> pd.Series:
+def _distance_batch(a: pd.Series, b: pd.Series, share: float | None = None) -> pd.Series:
     ok = np.array(a.notna() & b.notna())
     out = np.full(len(a), np.nan, np.float32)
     left, right = a[ok].tolist(), b[ok].tolist()
@@ -76,16 +95,22 @@ def _distance_batch(a: pd.Series, b: pd.Series) -> pd.Series:
         while stop < len(order) and stop - start < 2048 and len(left[order[stop]]) <= len(left[order[start]]) + 4 and (stop - start) * cells < 1 << 21:
             stop += 1
         part = order[start:stop]
-        out[at[part]] = edit_distances([left[i] for i in part], [right[i] for i in part])
+        out[at[part]] = edit_distances([left[i] for i in part], [right[i] for i in part], share)
         start = stop
     return pd.Series(out)
 
 
-def edit_distance(a: Column, b: Column) -> Column:
-    """Weighted edit distance as a float: free characters cost nothing, the dear one 5, C against G 2, all else 1. Null for null."""
+def edit_distance(a: Column, b: Column, share: float | None = None) -> Column:
+    """Weighted edit distance as a float: free characters cost nothing, the dear one 5, C against G 2, all else 1. Null for null. With
+    ``share`` also null where a bound shows that more than that share of the longer length is to be edited, which costs far less to see."""
+
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        return _distance_batch(x, y, share)
+
     # Declared so that the optimizer doesn't run it anew for each use of its result (a filter and a column, say).
-    d = F.pandas_udf(_distance_batch, "float").asNondeterministic()(a, b)
-    return F.when(a.isNotNull() & b.isNotNull(), d)
+    d = F.pandas_udf(run, "float").asNondeterministic()(a, b)
+    out = F.when(a.isNotNull() & b.isNotNull(), d)
+    return out if share is None else F.nanvl(out, F.lit(None).cast("float"))
 
 
 def edit_distance_expression(a: Column, b: Column) -> Column:
@@ -113,9 +138,9 @@ def _longest(a: Column, b: Column) -> Column:
     return F.greatest(F.length(a), F.length(b))
 
 
-def edit_sim(a: Column, b: Column) -> Column:
+def edit_sim(a: Column, b: Column, share: float | None = None) -> Column:
     """1 - distance / longer length in 32-bit floats, widened to double. Null for two empty texts (the rule's 0/0)."""
-    ratio = (edit_distance(a, b) / _longest(a, b)).cast("float")
+    ratio = (edit_distance(a, b, share) / _longest(a, b)).cast("float")
     return F.when(_longest(a, b) > 0, (F.lit(1).cast("float") - ratio).cast("float").cast("double"))
 
 
@@ -129,8 +154,8 @@ def length_factor(a: Column, b: Column) -> Column:
     return F.when((F.greatest(la, lb) >= LONG) & ((la > 2 * lb) | (2 * la < lb)), 0.5).otherwise(1.0)
 
 
-def edit_similar(a: Column, b: Column) -> Column:
-    return edit_sim(a, b) * length_factor(a, b)
+def edit_similar(a: Column, b: Column, share: float | None = None) -> Column:
+    return edit_sim(a, b, share) * length_factor(a, b)
 
 
 def edit_similar_new(a: Column, b: Column) -> Column:

@@ -6,19 +6,27 @@ parallel rounds with the outcome of the sequential pass."""
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatloom.functions import similarity as sm
-from chatloom.operators.pairs import _block, bag, costly_bag, missing, signature, spread
+from chatloom.functions.clean import bind
+from chatloom.operators.pairs import _block, bag, costly_bag, signature, spread
 from chatloom.operators.ranking import numbered
 from chatloom.runtime import materialize
 
 #: Rows of similar pairs of a group that go to one task; larger groups are clustered in rounds.
 MAX_PAIRS = 1_280_000
+#: Buckets of key frequencies, 2 to this power.
+KEY_BITS = 16
+#: Names of the numbers that make up a signature of characters: 64 bits each.
+BITS = "abcd"
 GROUP_LENGTH = 1000
 ITERATIONS = 20
 SIMILARITY = 0.66
@@ -37,6 +45,36 @@ def kmeans_groups(df: DataFrame, tokens: str, group_length: int = GROUP_LENGTH,
     return Pipeline(stages=stages).fit(df).transform(df).drop("_tf", "_tfidf")
 
 
+def _frequencies(each: DataFrame):
+    """How often the keys of each bucket come, sent to all executors: 2^KEY_BITS numbers. They only order keys, rare ones first."""
+    bucket = F.col("key").bitwiseAND(F.lit((1 << KEY_BITS) - 1))
+    got = each.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).toPandas()
+    counts = np.zeros(1 << KEY_BITS, np.int64)
+    counts[got["bucket"].to_numpy(int)] = got["n"].to_numpy(np.int64)
+    return each.sparkSession.sparkContext.broadcast(counts)
+
+
+def _rarest(frequencies):
+    """Rows with their ``lost`` + 1 rarest keys, one row each."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, names = frequencies.value, ["id", "n", "m", *BITS]
+        for b in it:
+            keys = b.column("keys")
+            size = keys.value_lengths().to_numpy(zero_copy_only=False)
+            flat = keys.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(b.num_rows), size)
+            order = np.lexsort((flat, counts[flat & ((1 << KEY_BITS) - 1)], row))
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+            pick = order[place <= b.column("lost").to_numpy()[row]]
+            for k in range(0, len(pick), 1 << 16):
+                at = pick[k : k + (1 << 16)]
+                rows = pa.array(row[at])
+                yield pa.RecordBatch.from_arrays([*(b.column(c).take(rows) for c in names), pa.array(flat[at])], names=[*names, "key"])
+
+    return run
+
+
 def similar_in_group(df: DataFrame, group: str, text: str, t: float = SIMILARITY) -> DataFrame:
     """Ordered pairs of different texts of a group whose edit similarity reaches t: group, a, b, sim.
 
@@ -44,38 +82,33 @@ def similar_in_group(df: DataFrame, group: str, text: str, t: float = SIMILARITY
     2k + 1 rarest pairs is in the shorter text: these meet all pairs of the texts that are no longer. A text with no more than 2k pairs
     meets all texts that are no longer. The numbers of costly characters differ by no more than k."""
     rows = df.select(F.col(group).alias("group"), F.col(text).alias("x")).where("x is not null").distinct()
-    # Numbered once and kept, so that candidate pairs are pairs of numbers.
-    rows = materialize(rows.withColumn("id", F.monotonically_increasing_id()).withColumn("bag", costly_bag(F.col("x"))), "group-texts")
-    costly = F.regexp_replace("x", f"[{sm.FREE}]", "")
+    # Numbered once and kept with what the bounds need, so that candidate pairs are pairs of numbers.
+    bare = F.regexp_replace("x", f"[{sm.FREE}]", "")
     none = F.array().cast("array<string>")
-    grams = F.when(F.length(costly) >= 2, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(costly) - 1), lambda i: F.substring(costly, i, F.lit(2))))).otherwise(none)
-    lost = (2 * F.floor((1 - t) * F.length("x") + F.lit(1e-6))).cast("int")
-    made = rows.select("group", "id", F.length("x").alias("n"), F.length(costly).alias("m"), grams.alias("grams"), lost.alias("lost"), signature(F.col("bag")).alias("cs"), signature(grams).alias("gs"))
-    numbers = ["n", "m", "lost", "cs", "gs"]
-    each = made.select("group", "id", *numbers, F.explode("grams").alias("key"))
-    n = each.groupBy("group", "key").agg(F.count("*").alias("often"))  # a count beforehand: no window holds a frequent key's rows
-    often = each.join(n, ["group", "key"]).withColumn("place", F.row_number().over(W.partitionBy("id").orderBy("often", "key")))
-    few = made.where(F.size("grams") <= F.col("lost")).select("group", "id", *numbers, F.lit("any").alias("key"))
-    long = often.where(F.col("place") <= F.col("lost") + 1).select("group", "id", *numbers, "key").unionByName(few)
-    short = each.unionByName(made.select("group", "id", *numbers, F.lit("any").alias("key")))
-    named = lambda d, s: d.select("group", "key", F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in numbers])
-    # No more than k characters and 2k pairs of either text are lacking in the other: tested on signatures within the join.
-    lacking = lambda c: F.greatest(missing(f"{c}_i", f"{c}_j"), missing(f"{c}_j", f"{c}_i"))
-    near = (F.col("n_i") >= F.col("n_j")) & (F.col("i") != F.col("j")) & (2 * F.abs(F.col("m_i") - F.col("m_j")) <= F.col("lost_i")) & (2 * lacking("cs") <= F.col("lost_i")) & (lacking("gs") <= F.col("lost_i"))
-    met = named(long, "i").join(named(short, "j"), ["group", "key"]).where(near).select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct()
-    # The characters themselves before the distance, which costs far more.
-    left, right = rows.select(F.col("id").alias("i"), "group", F.col("x").alias("a"), F.col("bag").alias("bag_a")), rows.select(F.col("id").alias("j"), F.col("x").alias("b"), F.col("bag").alias("bag_b"))
-    close = _lost("bag_a", "bag_b") <= (1 - t) * F.greatest(F.length("a"), F.length("b")) + 1e-6
-    pairs = met.join(left, "i").join(right, "j").where(close).select("group", "a", "b")
-    scored = materialize(spread(pairs).withColumn("sim", sm.edit_similar(F.col("a"), F.col("b"))).where(F.col("sim") >= t), "group-pairs")
+    grams = bind(bare, lambda b: F.when(F.length(b) >= 2, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(b) - 1), lambda i: F.substring(b, i, F.lit(2))))).otherwise(none))
+    rows = rows.withColumn("id", F.monotonically_increasing_id()).withColumn("cs", signature(costly_bag(F.col("x")), BITS))
+    rows = materialize(rows.select("group", "x", "id", F.length("x").alias("n"), F.length(bare).alias("m"), grams.alias("grams"), "cs"), "group-texts").select("*", "cs.*")
+    lost = lambda n: (2 * F.floor((1 - t) * F.col(n) + F.lit(1e-6))).cast("int")
+    made = rows.withColumn("lost", lost("n"))
+    # A key is a number for group and pair; two that fall together only bring more candidates, whose groups are compared below.
+    key = lambda c: F.xxhash64("group", c)
+    numbers = ["id", "n", "m", *BITS]
+    keyed = made.select(*numbers, "lost", key(F.lit("")).alias("any"), F.transform("grams", key).alias("keys"))
+    each, whole = keyed.select(*numbers, F.explode("keys").alias("key")), keyed.select(*numbers, F.col("any").alias("key"), "lost", "keys")
+    named = lambda d, s: d.select("key", *[F.col(c).alias(f"{c}_{s}") for c in numbers])
+    rarest = keyed.select(*numbers, "lost", "keys").mapInArrow(_rarest(_frequencies(each)), f"id long, n int, m int, {', '.join(f'{c} long' for c in BITS)}, key long")
+    long = named(rarest, "i").unionByName(named(whole.where(F.size("keys") <= F.col("lost")), "i"))
+    short = named(each, "j").unionByName(named(whole, "j"))
+    # No more than k characters of either text are lacking in the other: tested on signatures within the join.
+    lacks = lambda p, q: sum(F.bit_count(F.col(f"{c}_{p}").bitwiseAND(F.bitwise_not(F.col(f"{c}_{q}")))) for c in BITS)
+    near = (F.col("n_i") >= F.col("n_j")) & (F.col("id_i") != F.col("id_j")) & (2 * F.greatest(F.abs(F.col("m_i") - F.col("m_j")), lacks("i", "j"), lacks("j", "i")) <= lost("n_i"))
+    met = long.join(short, "key").where(near).select(F.least("id_i", "id_j").alias("i"), F.greatest("id_i", "id_j").alias("j")).distinct()
+    left, right = rows.select(F.col("id").alias("i"), "group", F.col("x").alias("a")), rows.select(F.col("id").alias("j"), F.col("group").alias("other"), F.col("x").alias("b"))
+    pairs = met.join(left, "i").join(right, "j").where(F.col("group").eqNullSafe(F.col("other"))).select("group", "a", "b")
+    scored = materialize(spread(pairs).withColumn("sim", sm.edit_similar(F.col("a"), F.col("b"), 1 - t)).where(F.col("sim") >= t), "group-pairs")
     return scored.unionByName(scored.select("group", F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
 
 
-def _lost(a: str, b: str) -> Column:
-    """How many of one bag the other lacks, at most: so many edits lie between the texts at least."""
-    return F.greatest(F.size(F.array_except(a, b)), F.size(F.array_except(b, a)))
-
-
 def _greedy(rows: pd.DataFrame) -> pd.DataFrame:
     """rows: group, a, b, sim (b null for a text without neighbours). Texts in falling number of neighbours, then by name."""
     near: dict[str, list[tuple[float, str]]] = {}
@@ -184,17 +217,15 @@ def canopy(df: DataFrame, text: str, segment: str, order: str, t1: float, t2: fl
     rows = df.select(F.col(text).alias("x"), F.col(segment).alias("seg"), F.col(order).alias("o")).where("x is not null").groupBy("x").agg(F.min_by("seg", "o").alias("seg"), F.min("o").alias("o"))
     rows = rows.withColumn("seg", F.coalesce("seg", F.lit(""))).withColumn("id", F.monotonically_increasing_id())
     rows = rows.withColumn("q", F.replace("x", F.lit(" "), F.lit(""))).withColumn("words", F.split("seg", " "))
-    rows = materialize(rows.select("id", "x", "seg", "o", "q", F.lit("").alias("model"), costly_bag(F.col("q")).alias("cs"), bag(F.col("words")).alias("ts")), "canopy-texts")
+    rows = materialize(rows.select("id", "x", "seg", "o", "q", F.lit("").alias("model"), bag(F.col("words")).alias("ts")), "canopy-texts")
     far = max(t1, t2)
     met = _block(rows, rows, None, 1 - far - 1e-6, bags=True).where("i <> j").select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct()
-    side = lambda s: rows.select(F.col("id").alias(s), *[F.col(c).alias(f"{c}{s}") for c in ("x", "q", "o", "cs", "ts")])
+    side = lambda s: rows.select(F.col("id").alias(s), *[F.col(c).alias(f"{c}{s}") for c in ("x", "q", "o", "ts")])
     both = met.join(side("i"), "i").join(side("j"), "j")
-    # The overlap of tokens by their bags; the edit distance only where the bags of characters leave it within the bound.
+    # The overlap of tokens by their bags.
     common = F.size(F.array_intersect("tsi", "tsj"))
-    both = both.withColumn("overlap", common / (F.size("tsi") + F.size("tsj") - common)).withColumn("close", _lost("csi", "csj") <= far * F.greatest(F.length("qi"), F.length("qj")) + 1e-6)
-    both = spread(both.where(F.col("close") | (F.col("overlap") >= 1 - far - 1e-9)).drop("csi", "csj", "tsi", "tsj"))
-    edit = sm.edit_similar(F.when(F.col("close"), F.col("qi")), F.when(F.col("close"), F.col("qj")))
-    both = both.withColumn("d", 1 - F.greatest(edit, "overlap"))
+    both = spread(both.withColumn("overlap", common / (F.size("tsi") + F.size("tsj") - common)).drop("tsi", "tsj"))
+    both = both.withColumn("d", 1 - F.greatest(sm.edit_similar(F.col("qi"), F.col("qj"), far), "overlap"))
     before = F.struct("oi", "xi") < F.struct("oj", "xj")
     links = materialize(both.where(F.col("d") <= far).select(F.when(before, F.col("i")).otherwise(F.col("j")).alias("early"), F.when(before, F.col("j")).otherwise(F.col("i")).alias("late"), "d"), "canopy-links")
     free, left, made = rows.select("id"), links.where(F.col("d") < t2).select("early", "late"), None

@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatloom.functions import similarity as sm
+from chatloom.functions.clean import bind
 from chatloom.runtime import materialize
 
 
@@ -23,17 +24,17 @@ def tokens(c: Column) -> Column:
     return F.split(c, " ")
 
 
-def signature(items: Column) -> Column:
-    """128 bits as two numbers, one bit set for each item of an array."""
-    place = F.transform(items, lambda x: F.pmod(F.xxhash64(x), F.lit(128)).cast("int"))
+def signature(items: Column, names: str = "ab") -> Column:
+    """64 bits for each of ``names``, a number each; one bit is set for each item of an array."""
+    place = F.transform(items, lambda x: F.pmod(F.xxhash64(x), F.lit(64 * len(names))).cast("int"))
     bit = lambda p, low: F.when(p.between(low, low + 63), F.call_function("shiftleft", F.lit(1).cast("long"), p - low)).otherwise(F.lit(0).cast("long"))
-    half = lambda low: F.aggregate(place, F.lit(0).cast("long"), lambda acc, p: acc.bitwiseOR(bit(p, low)))
-    return F.struct(half(0).alias("a"), half(64).alias("b"))
+    half = lambda places, low: F.aggregate(places, F.lit(0).cast("long"), lambda acc, p: acc.bitwiseOR(bit(p, low)))
+    return bind(place, lambda places: F.struct(*[half(places, 64 * k).alias(n) for k, n in enumerate(names)]))
 
 
-def missing(one: str, two: str) -> Column:
+def missing(one: str, two: str, names: str = "ab") -> Column:
     """Bits of signature ``one`` that ``two`` lacks: no more than the items it lacks."""
-    return sum(F.bit_count(F.col(f"{one}.{h}").bitwiseAND(F.bitwise_not(F.col(f"{two}.{h}")))) for h in "ab")
+    return sum(F.bit_count(F.col(f"{one}.{h}").bitwiseAND(F.bitwise_not(F.col(f"{two}.{h}")))) for h in names)
 
 
 def costly(c: Column) -> Column:
@@ -42,8 +43,8 @@ def costly(c: Column) -> Column:
 
 
 def bag(items: Column) -> Column:
-    """Items told apart by their occurrence: the n-th of its kind."""
-    return F.transform(items, lambda x, i: F.concat(x, F.size(F.filter(F.slice(items, 1, i + 1), lambda y: y == x)).cast("string")))
+    """Items told apart by their occurrence: the n-th of its kind. Ordered, an item's number is its place after the first of its kind."""
+    return bind(F.array_sort(items), lambda ordered: F.transform(ordered, lambda x, i: F.concat(x, F.lit("\0"), (i - F.array_position(ordered, x)).cast("string"))))
 
 
 def costly_bag(c: Column) -> Column:
@@ -58,7 +59,12 @@ def _described(side: DataFrame, domain: list[str] | None, t: float, bags: bool)
     weight = F.size(words) if domain is None else F.aggregate(kinds, F.lit(0), lambda acc, x: acc + F.when(x.isin(domain or [""]), 3).otherwise(1))
     n = F.length("q")
     edits = F.floor((1 - t) * n + F.lit(1e-6)).cast("int")
-    return side.select("id", "model", n.alias("n"), edits.alias("edits"), costly(F.col("q")).alias("chars"), words.alias("words"), kinds.alias("kinds"), signature((costly_bag if bags else costly)(F.col("q"))).alias("cs"), signature(bag(words) if bags else kinds).alias("ts"), (F.size(costly_bag(F.col("q"))) if bags else F.lit(0)).alias("m"), ((1 - t) * weight + 1e-9).alias("spare"), weight.alias("weight"))
+    return side.select("id", "model", n.alias("n"), edits.alias("edits"), costly(F.col("q")).alias("chars"), words.alias("words"), kinds.alias("kinds"), signature((costly_bag if bags else costly)(F.col("q")), _bits(bags)).alias("cs"), signature(bag(words) if bags else kinds, _bits(bags)).alias("ts"), (F.size(costly_bag(F.col("q"))) if bags else F.lit(0)).alias("m"), ((1 - t) * weight + 1e-9).alias("spare"), weight.alias("weight"))
+
+
+def _bits(bags: bool) -> str:
+    """Whole texts are told apart by longer signatures: short ones leave of long texts too many pairs."""
+    return "abcd" if bags else "ab"
 
 
 _NUMBERS = ["n", "edits", "cs", "ts", "spare", "m"]
@@ -93,9 +99,10 @@ def _block(one: DataFrame, two: DataFrame, domain: list[str] | None, t: float, b
         return chars(side).select("id", "model", "key", *_NUMBERS).unionByName(any_key(side))
 
     named = lambda d, s: d.select("model", "key", F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in _NUMBERS])
-    lost = lambda c: F.greatest(missing(f"{c}_i", f"{c}_j"), missing(f"{c}_j", f"{c}_i"))
+    bits = _bits(bags)
+    lost = lambda c: F.greatest(missing(f"{c}_i", f"{c}_j", bits), missing(f"{c}_j", f"{c}_i", bits))
     near = (lost("cs") <= F.greatest("edits_i", "edits_j")) & (F.abs(F.col("m_i") - F.col("m_j")) <= F.greatest("edits_i", "edits_j"))
-    alike = (missing("ts_i", "ts_j") <= F.col("spare_i")) & (missing("ts_j", "ts_i") <= F.col("spare_j"))
+    alike = (missing("ts_i", "ts_j", bits) <= F.col("spare_i")) & (missing("ts_j", "ts_i", bits) <= F.col("spare_j"))
     met = lambda x, y, keep: named(x, "i").join(named(y, "j"), ["model", "key"]).where(keep).select("i", "j")
     seen_words, seen_chars = words(two).select("key"), chars(two).select("key")
     by_token = met(token_prefix(one, seen_words), token_prefix(two, seen_words), alike)

@@ -74,8 +74,13 @@ def handoff_counts(log: DataFrame, faq: str) -> DataFrame:
 def handoff_distances(log: DataFrame, faq: str) -> DataFrame:
     """For each session handed off not at the user's wish, and each question with a weak answer in it: the least distance in rows from the
     question to a hand-off, and the day of that row (of equal distances the earliest row's)."""
-    chosen = handoffs(log, faq).where("not initiated").select("session_id")
-    rows = timeline(log).join(chosen, "session_id", "left_semi").select("session_id", "question", "place", visit_date().alias("day"), weak_answer().alias("weak"), F.coalesce(F.col("faq_name") == faq, F.lit(False)).alias("here"))
+    # All windows are over the session: one exchange, and no joining of the log with itself.
+    whole = W.partitionBy("session_id")
+    custom = F.coalesce(F.col("answer_type").try_cast("int") == 8, F.lit(False))
+    rows = timeline(log).select("session_id", "question", "place", visit_date().alias("day"), weak_answer().alias("weak"), F.coalesce(F.col("faq_name") == faq, F.lit(False)).alias("here"), custom.alias("custom"))
+    rows = rows.where("session_id is not null").withColumn("first", F.min(F.when(F.col("here"), F.col("place"))).over(whole)).where("first is not null")
+    initiated = (F.col("first") == 0) | F.min(F.when(F.col("place") <= F.col("first"), F.col("custom"))).over(whole)
+    rows = rows.withColumn("initiated", initiated).where("not initiated")
     # The nearest hand-offs before and after a row are running maxima and minima: no pairing of rows within a session.
     order = W.partitionBy("session_id").orderBy("place")
     at = F.when(F.col("here"), F.col("place"))
