@@ -12,14 +12,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatloom.runtime import broadcast_if_small, materialize, table
 
 #: Codes sorted at once in a task (8 bytes each); more give several runs.
 RUN_CODES = 1 << 20
-#: Items of one basket held in one array; larger baskets are split into chunks, and pairs of chunks are separate rows.
+#: Items of one basket held in one array, on average; larger baskets are split into chunks, and pairs of chunks are separate rows.
 CHUNK_ITEMS = 512
 
 
@@ -127,20 +126,25 @@ def item_pairs(df: DataFrame, basket: list[str], item: Column | str, min_count:
     rows = df.select(*[F.col(c).alias(k) for c, k in zip(basket, keys)], (F.col(item) if isinstance(item, str) else item).alias("item")).where("item is not null")
     # The distinct step needs no skewed task: its key holds the item, and repeats are combined before the exchange.
     held = materialize(rows.distinct(), "p1-rows")
-    n = held.select(*keys).distinct().count()
+    baskets = materialize(held.groupBy(*keys).agg(F.count("*").alias("n_items")), "p1-sizes")
+    n = baskets.count()
     counts = held.groupBy("item").agg(F.count("*").alias("n_item")).where(F.col("n_item") >= min_count)
     numbers, total = _item_numbers(counts)
     numbered = held.join(broadcast_if_small(numbers, total, 64), "item").select(*keys, F.col("num").cast("int").alias("num"))
-    chunked = (
-        numbered.withColumn("chunk", F.floor((F.row_number().over(W.partitionBy(*keys).orderBy("num")) - 1) / CHUNK_ITEMS))
-        .groupBy(*keys, "chunk").agg(F.sort_array(F.collect_list("num")).alias("a"))
-    )
-    chunked = materialize(chunked, "p1-baskets")
-    large = chunked.where("chunk > 0").select(*keys).distinct()
-    one, two, big = chunked.alias("l"), chunked.where("chunk > 0").alias("r"), large.alias("g")
-    first = one.join(big, [F.col(f"l.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys], "left_semi").alias("l")
-    crossed = first.join(two, [*[F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys], F.col("l.chunk") < F.col("r.chunk")]).select(F.col("l.a").alias("a"), F.col("r.a").alias("b"))
-    arrays = chunked.where(F.size("a") > 1).select("a", F.lit(None).cast("array<int>").alias("b")).unionByName(crossed)
+    # A large basket is cut in chunks by its items' hashes, so that no task ever holds it whole.
+    large = baskets.where(F.col("n_items") > CHUNK_ITEMS).select(*[F.col(k).alias(f"_{k}") for k in keys], F.ceil(F.col("n_items") / CHUNK_ITEMS).alias("chunks"))
+    any_large = bool(large.head(1))
+    if any_large:
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        numbered = numbered.join(large, same, "left").withColumn("chunk", F.coalesce(F.pmod(F.xxhash64("num"), F.col("chunks")), F.lit(-1)))
+    else:
+        numbered = numbered.withColumn("chunk", F.lit(-1).cast("long"))
+    chunked = materialize(numbered.groupBy(*keys, "chunk").agg(F.sort_array(F.collect_list("num")).alias("a")), "p1-baskets")
+    arrays = chunked.where(F.size("a") > 1).select("a", F.lit(None).cast("array<int>").alias("b"))
+    if any_large:
+        one, two = chunked.where("chunk >= 0").alias("l"), chunked.where("chunk >= 0").alias("r")
+        crossed = one.join(two, [*[F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys], F.col("l.chunk") < F.col("r.chunk")]).select(F.col("l.a").alias("a"), F.col("r.a").alias("b"))
+        arrays = arrays.unionByName(crossed)
     runs = arrays.mapInArrow(pack_pairs, "code long, n long")
     merged = runs.repartition("code").sortWithinPartitions("code").mapInArrow(merge_runs(min_count), "code long, n_ab long")
     coded = merged.select(F.shiftright("code", 32).alias("num_a"), F.col("code").bitwiseAND(F.lit((1 << 32) - 1)).alias("num_b"), "n_ab")
