@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.runtime import batches, table
+from chatloom.runtime import batches, materialize, table
 
 #: Rows whose terms are counted at once in a task.
 CHUNK_ROWS = 1 << 16
@@ -54,19 +54,19 @@ def _vertical(split: str):
                 continue
             coded = terms.dictionary_encode()
             code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            ids = t.column("id").to_numpy().astype(np.int64)
-            order = np.argsort(ids, kind="stable")
-            place = np.empty(len(ids), np.int64)
-            place[order] = np.arange(len(ids))
+            ids, place = np.unique(t.column("id").to_numpy().astype(np.int64), return_inverse=True)
             key, n = np.unique((code << 32) | place[rows], return_counts=True)
-            code, ids = key >> 32, ids[order][key & 0xFFFFFFFF]
+            # Beside the terms, under a null, the records that have any: their number comes out of the same pass.
+            any_term = np.unique(key & 0xFFFFFFFF)
+            key, n = np.concatenate((key, (len(coded.dictionary) << 32) | any_term)), np.concatenate((n, np.ones(len(any_term), n.dtype)))
+            code, ids = key >> 32, ids[key & 0xFFFFFFFF]
             high, low = ids >> 16, (ids & 0xFFFF).astype(np.uint16)
             fresh = np.concatenate(([True], (code[1:] != code[:-1]) | (high[1:] != high[:-1])))
             start = np.flatnonzero(fresh)
             end = np.concatenate((start[1:], [len(code)]))
             occ = np.add.reduceat(n, start).astype(np.int64)
             small = (end - start) < ARRAY_MAX
-            names = coded.dictionary
+            names = pa.concat_arrays([coded.dictionary, pa.array([None], coded.dictionary.type)])
             # Small containers are slices of one buffer: their bytes are laid out together without a loop.
             of_small = small[np.cumsum(fresh) - 1]
             offsets = np.concatenate(([0], np.cumsum((end - start)[small] * 2))).astype(np.int32)
@@ -114,6 +114,11 @@ def term_bitmaps(df: DataFrame, text: str, record_id: str | None = None, split:
 
     ``record_id`` is a bigint column without nulls; rows that share an identifier are one record. Without it every row is a record of its
     own. Terms are the non-empty pieces of ``text`` between runs of ``split``; null and blank texts have none."""
+    return _index(df, text, record_id, split).where("term is not null")
+
+
+def _index(df: DataFrame, text: str, record_id: str | None, split: str) -> DataFrame:
+    """term_bitmaps, with the bitmap of all records that have a term under a null term."""
     ids = F.col(record_id).cast("long") if record_id else F.monotonically_increasing_id()
     rows = df.select(ids.alias("id"), F.col(text).alias("text")).where("text is not null")
     parts = rows.mapInArrow(_vertical(split), BITMAPS)
@@ -128,13 +133,12 @@ def term_frequencies(df: DataFrame, text: str, record_id: str | None = None, rar
     or one of blank texts gives no rows."""
     size = F.when(F.length("bits") == 8192, F.lit(None)).otherwise(F.expr("length(bits) div 2"))
     large = F.expr("length(bits) = 8192")
-    bits = term_bitmaps(df, text, record_id, split)
+    bits = _index(df, text, record_id, split)
     counted = bits.select("term", "n_occurrences", F.when(large, F.expr("bitmap_count(bits)")).otherwise(size).cast("long").alias("n"))
-    terms = counted.groupBy("term").agg(F.sum("n_occurrences").alias("n_occurrences"), F.sum("n").alias("n_rows"))
-    having = df.select(F.col(text).alias("text"), *([F.col(record_id).alias("id")] if record_id else [])).where(F.regexp_replace("text", split, "") != "")
-    total = having.agg((F.count_distinct("id") if record_id else F.count("*")).alias("_total"))
-    mark = F.when(F.col("n_rows") <= rare_max, "rare").when(F.col("n_rows") * common_parts > F.col("_total"), "common")
-    return terms.join(F.broadcast(total)).select("term", "n_occurrences", "n_rows", mark.alias("mark"))
+    terms = materialize(counted.groupBy("term").agg(F.sum("n_occurrences").alias("n_occurrences"), F.sum("n").alias("n_rows")), "p4-terms")
+    total = terms.where("term is null").agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+    mark = F.when(F.col("n_rows") <= rare_max, "rare").when(F.col("n_rows") * common_parts > F.lit(total), "common")
+    return terms.where("term is not null").select("term", "n_occurrences", "n_rows", mark.alias("mark"))
 
 
 def p4_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
