@@ -17,10 +17,15 @@ from pyspark.sql import types as T
 
 from chatloom.runtime import batches, broadcast_if_small, table
 
-# Letters of other scripts with the shape of a Latin letter, each before its Latin twin.
+# Letters of other scripts with the shape of a Latin letter, each before its Latin twin. Left out are letters that differ in
+# shape in most fonts, such as the small Greek ones but omicron.
 LOOK_ALIKES = (
     "АA ВB ЕE ЅS ІI ЈJ КK МM НH ОO РP СC ТT УY ХX ԚQ ԜW ҮY ӀI аa еe оo рp сc уy хx ѕs іi јj һh ԁd ԛq ԝw ӏl ғf "
-    "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX οo ϲc ϳj ϹC ͿJ ՕO օo ՏS ոn ѵv ѴV ԌG"
+    "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX οo ϳj ͿJ ՕO օo ՏS ոn ѵv ѴV ԌG "
+    # Cherokee, Lisu and Coptic letters.
+    "ᎪA ᏴB ᏟC ᎠD ᎬE ᏀG ᎻH ᎫJ ᏦK ᏞL ᎷM ᏢP ᏒR ᏚS ᎢT ᏙV ᎳW ᏃZ "
+    "ꓐB ꓑP ꓓD ꓔT ꓖG ꓗK ꓙJ ꓚC ꓜZ ꓝF ꓟM ꓠN ꓡL ꓢS ꓣR ꓦV ꓧH ꓪW ꓫX ꓬY ꓮA ꓰE ꓲI ꓳO ꓴU "
+    "ⲀA ⲂB ⲈE ⲎH ⲒI ⲔK ⲘM ⲚN ⲞO ⲢP ⲤC ⲦT ⲨY ⲬX ⲟo ⲣp ⲥc"
 )
 #: Code points searched for compatibility forms; none lies beyond.
 LAST = 0x30000

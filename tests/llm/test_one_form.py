@@ -21,6 +21,14 @@ def test_differences_one_sees_are_kept(spark):
     assert len(set(forms(spark, different))) == len(different)
 
 
+def test_look_alikes(spark):
+    pairs = of.LOOK_ALIKES.split()
+    assert len({p[0] for p in pairs}) == len(pairs) and all(len(p) == 2 and p[1].isascii() and not p[0].isascii() for p in pairs)
+    assert forms(spark, ["".join(p[0] for p in pairs)]) == ["".join(p[1] for p in pairs)]
+    seen = "αβγδεικνρσυжиля中ーａ"  # letters whose shape is their own, and one that is not
+    assert forms(spark, [seen]) == [seen[:-1] + "a"]
+
+
 def test_edges(spark):
     long = "ＡА​" * 200_000
     assert forms(spark, [None, "", "​﻿", long, "x"]) == [None, "", "", "AA" * 200_000, "x"]
