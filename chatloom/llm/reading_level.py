@@ -20,8 +20,8 @@ from chatloom.runtime import broadcast_if_small, materialize, table
 
 #: Word nodes of the graph, 2 to this power at most 16: what the driver holds and sends is bounded by it.
 WORD_BITS = 16
-#: Harmonic iterations.
-ITERATIONS = 3
+#: Harmonic iterations at most, and the greatest change of a word at which they end before.
+ITERATIONS, TOLERANCE = 3, 1e-3
 #: One in so many rated documents is kept out of the propagation and places the borders.
 HELD_OUT = 5
 #: Steps into which scores are divided to place the borders.
@@ -177,7 +177,9 @@ def reading_levels(
     weight = 1 / np.maximum(square - mean * mean, 0.05) ** 2
     for _ in range(iterations):
         sums = _word_sums(graph, mean, weight, base)
-        mean = np.where(sums[0] > 0, sums[1] / np.maximum(sums[0], 1), mean)
+        last, mean = mean, np.where(sums[0] > 0, sums[1] / np.maximum(sums[0], 1), mean)
+        if np.abs(mean - last).max() < TOLERANCE:
+            break
     low, high = float(mean.min()), float(mean.max())
     step = lambda c: F.least(F.greatest(F.floor((c - low) / max(high - low, 1e-9) * STEPS), F.lit(0)), F.lit(STEPS - 1)).cast("int")
     score = _score(mean, weight, base)
