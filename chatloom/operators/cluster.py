@@ -219,7 +219,7 @@ def canopy(df: DataFrame, text: str, segment: str, order: str, t1: float, t2: fl
     rows = rows.withColumn("q", F.replace("x", F.lit(" "), F.lit(""))).withColumn("words", F.split("seg", " "))
     rows = materialize(rows.select("id", "x", "seg", "o", "q", F.lit("").alias("model"), bag(F.col("words")).alias("ts")), "canopy-texts")
     far = max(t1, t2)
-    met = _block(rows, rows, None, 1 - far - 1e-6, bags=True).where("i <> j").select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct()
+    met = _block(rows, rows, None, 1 - far - 1e-6, bags=True)
     side = lambda s: rows.select(F.col("id").alias(s), *[F.col(c).alias(f"{c}{s}") for c in ("x", "q", "o", "ts")])
     both = met.join(side("i"), "i").join(side("j"), "j")
     # The overlap of tokens by their bags.

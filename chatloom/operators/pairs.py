@@ -64,7 +64,7 @@ def _described(side: DataFrame, domain: list[str] | None, t: float, bags: bool)
 
 def _bits(bags: bool) -> str:
     """Whole texts are told apart by longer signatures: short ones leave of long texts too many pairs."""
-    return "abcd" if bags else "ab"
+    return "abcdefgh" if bags else "ab"
 
 
 _NUMBERS = ["n", "edits", "cs", "ts", "spare", "m"]
@@ -78,7 +78,8 @@ def _often(each: DataFrame, seen: DataFrame) -> DataFrame:
 
 def _block(one: DataFrame, two: DataFrame, domain: list[str] | None, t: float, bags: bool = False) -> DataFrame:
     """Pairs of numbers (i of ``one``, j of ``two``) that share a key and that the signatures leave. one, two: id, model, q, seg (q without
-    blanks). With ``bags`` repeated characters and tokens count each: for similarities of the texts as they are and multisets of tokens."""
+    blanks). With ``bags`` repeated characters and tokens count each (for similarities of the texts as they are and multisets of tokens), and the
+    two tables are one: each pair comes once, i < j."""
     order = W.partitionBy("id").orderBy("often", "key")
     one, two = (_described(side, domain, t, bags) for side in (one, two))
     words = lambda side: side.select("id", "model", *_NUMBERS, "weight", "words", F.explode("kinds").alias("key"))
@@ -107,6 +108,9 @@ def _block(one: DataFrame, two: DataFrame, domain: list[str] | None, t: float, b
     seen_words, seen_chars = words(two).select("key"), chars(two).select("key")
     by_token = met(token_prefix(one, seen_words), token_prefix(two, seen_words), alike)
     left_long = met(char_prefix(one, seen_chars), all_chars(two), (F.col("n_i") >= F.col("n_j")) & near)
+    if bags:  # a table with itself: each pair once, smaller number first
+        both = by_token.where("i < j").unionByName(left_long.where("i <> j").select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")))
+        return both.distinct()
     right_long = met(all_chars(one), char_prefix(two, seen_chars), (F.col("n_j") >= F.col("n_i")) & near)
     return by_token.unionByName(left_long).unionByName(right_long).distinct()
 

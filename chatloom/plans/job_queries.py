@@ -27,19 +27,34 @@ def _config(spark: SparkSession, sf_dir: str) -> jobs.JobConfig:
     return dataclasses.replace(CONFIG, classified=[pq._parsed(spark, sf_dir)], tables={"labels": labels})
 
 
-def _job(name: str, part: str, shape=lambda df: df):
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _outputs(name: str):
+    def run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         # The outputs of a job are made once for all its queries, until its scratch tables are removed.
         key = (spark.sparkContext.applicationId, runtime._RELEASED[0], sf_dir, name)
         if key not in _HELD:
             for old in [k for k in _HELD if k[:2] != key[:2]]:
                 del _HELD[old]
             _HELD[key] = jobs.run_job(name, spark, table(spark, sf_dir, "robot_log"), _config(spark, sf_dir))
-        return shape(_HELD[key][part])
+        return _HELD[key]
 
     return run
 
 
+def _job(name: str, part: str, shape=lambda df: df):
+    return lambda spark, sf_dir: shape(_outputs(name)(spark, sf_dir)[part])
+
+
+def _mined_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for the answers of question clusters however these were made: none is foreign to the dialogues' pairs, no weight lies
+    outside 0 to 1, and each question cluster has an answer."""
+    out = _outputs("mining")(spark, sf_dir)
+    foreign = out["answers"].join(out["pairs"].select("answer").distinct(), "answer", "left_anti")
+    bare = out["clusters"].select("id").distinct().join(out["answers"].select("id").distinct(), "id", "left_anti")
+    told = out["answers"].where("not coalesce(weight between 0 and 1, false)").select(F.lit("weight").alias("fault"))
+    told = told.unionByName(foreign.select(F.lit("foreign").alias("fault"))).unionByName(bare.select(F.lit("bare").alias("fault")))
+    return told.agg(F.count("*").alias("n_faults")).join(F.broadcast(out["answers"].agg((F.count("*") > 0).alias("some"))))  # one row each
+
+
 def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream run to its end: hourly counts, written by each batch in full to the shared folder."""
     path = scratch_path(spark, "stream")
@@ -59,7 +74,6 @@ def _once(column: str):
     return lambda df: df.groupBy(column).agg(F.count("*").alias("n"))
 
 
-_ANSWERS = lambda df: df.select("answer").distinct()
 QUERIES = {
     "job_unanswered_recent": _job("unanswered", "recent"), "job_unanswered_day": _job("unanswered", "day"), "job_unanswered_day_types": _job("unanswered", "day_types"),
     "job_unanswered_periods": _job("unanswered", "periods"), "job_unanswered_map": _job("unanswered", "map"),
@@ -72,7 +86,7 @@ QUERIES = {
     "job_training": _job("training", "lines"), "job_training_ids": _job("training", "faq_ids"),
     "job_import": _job("import", "days", lambda df: df.select("log_id", "cleaned", "tokens", "day")), "job_import_labelled": _job("import", "labelled", lambda df: df.select("log_id", "label")),
     "job_mining_pairs": _job("mining", "pairs"), "job_mining_clusters": _job("mining", "clusters", _once("text")), "job_mining_weights": _job("mining", "weights", lambda df: df.agg(F.sum("size").alias("n_texts"))),
-    "job_mining_answers": _job("mining", "answers"), "job_clean": _job("clean", "questions"),
+    "job_mining_answers": _mined_answers, "job_clean": _job("clean", "questions"),
     "job_load_details": _job("load", "session_detail"), "job_load_faq": _job("load", "unans_faq", _rounded("score")), "job_load_related": _job("load", "unans_related", _rounded("sim")),
     "job_load_semantic": _job("load", "unans_semantic", lambda df: df.select("question", "today", "answered", "n_hit", "n_30d", "level")), "streamed_counts": streamed,
 }
@@ -149,6 +163,7 @@ SQL = {
       select log_id, label from o join l using (cleaned) where cleaned <> '' union all select log_id, '0' from o where coalesce(cleaned, '') = ''""",
     "job_mining_pairs": _MINED,
     "job_mining_clusters": f"select question as text, 1 as n from ({_MINED}) group by 1",
+    "job_mining_answers": f"select 0 as n_faults, count(*) > 0 as some from ({_MINED})",
     "job_mining_weights": f"select count(distinct question) as n_texts from ({_MINED})",
     "job_clean": f"with r as (select distinct question from (select {lq.simplify_sql('question')} as question, ex from robot_log) where {lq.check_sql('question', 'ex', 0, 60)}) select question, row_number() over (order by question) - 1 as number from r",
     "job_load_details": _DETAILS,
