@@ -55,11 +55,14 @@ def _described(side: DataFrame, domain: list[str] | None, t: float, bags: bool)
     """What the bounds need of each text, in numbers: n characters and ``edits`` that are allowed if it is the longer one, signatures of
     characters and tokens, the weight of tokens that may be lost, and m characters (with ``bags``) that cost something."""
     words = tokens(F.col("seg"))
+    none = F.array().cast("array<string>")
+    bare = F.regexp_replace("q", f"[{sm.FREE}]", "")
+    grams = bind(bare, lambda b: F.when(F.length(b) >= 2, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(b) - 1), lambda i: F.substring(b, i, F.lit(2))))).otherwise(none)) if bags else none
     kinds = F.array_distinct(words)
     weight = F.size(words) if domain is None else F.aggregate(kinds, F.lit(0), lambda acc, x: acc + F.when(x.isin(domain or [""]), 3).otherwise(1))
     n = F.length("q")
     edits = F.floor((1 - t) * n + F.lit(1e-6)).cast("int")
-    return side.select("id", "model", n.alias("n"), edits.alias("edits"), costly(F.col("q")).alias("chars"), words.alias("words"), kinds.alias("kinds"), signature((costly_bag if bags else costly)(F.col("q")), _bits(bags)).alias("cs"), signature(bag(words) if bags else kinds, _bits(bags)).alias("ts"), (F.size(costly_bag(F.col("q"))) if bags else F.lit(0)).alias("m"), ((1 - t) * weight + 1e-9).alias("spare"), weight.alias("weight"))
+    return side.select("id", "model", n.alias("n"), edits.alias("edits"), costly(F.col("q")).alias("chars"), grams.alias("grams"), words.alias("words"), kinds.alias("kinds"), signature((costly_bag if bags else costly)(F.col("q")), _bits(bags)).alias("cs"), signature(bag(words) if bags else kinds, _bits(bags)).alias("ts"), (F.size(costly_bag(F.col("q"))) if bags else F.lit(0)).alias("m"), ((1 - t) * weight + 1e-9).alias("spare"), weight.alias("weight"))
 
 
 def _bits(bags: bool) -> str:
@@ -83,7 +86,11 @@ def _block(one: DataFrame, two: DataFrame, domain: list[str] | None, t: float, b
     order = W.partitionBy("id").orderBy("often", "key")
     one, two = (_described(side, domain, t, bags) for side in (one, two))
     words = lambda side: side.select("id", "model", *_NUMBERS, "weight", "words", F.explode("kinds").alias("key"))
-    chars = lambda side: side.select("id", "model", *_NUMBERS, F.explode("chars").alias("key"))
+    # An edit costs a text two of its pairs of neighbouring characters at most: where it has enough of them (and its characters count as
+    # they are), its rarest pairs are its keys, which come in far fewer texts than characters.
+    by_grams = F.size("grams") > 2 * F.col("edits")
+    rare = lambda side: side.select("id", "model", *_NUMBERS, F.when(by_grams, 2 * F.col("edits") + 1).otherwise(F.col("edits") + 1).alias("take"), F.explode(F.when(by_grams, F.col("grams")).otherwise(F.col("chars"))).alias("key"))
+    chars = lambda side: side.select("id", "model", *_NUMBERS, F.explode(F.concat("chars", "grams")).alias("key"))
 
     def token_prefix(side: DataFrame, seen: DataFrame) -> DataFrame:
         w = F.size(F.filter("words", lambda x: x == F.col("key"))) if domain is None else F.when(F.col("key").isin(domain or [""]), 3).otherwise(1)
@@ -93,8 +100,8 @@ def _block(one: DataFrame, two: DataFrame, domain: list[str] | None, t: float, b
     any_key = lambda side: side.select("id", "model", F.lit("any").alias("key"), *_NUMBERS)
 
     def char_prefix(side: DataFrame, seen: DataFrame) -> DataFrame:
-        rows = _often(chars(side), seen).withColumn("place", F.row_number().over(order))
-        return rows.where(F.col("place") <= F.col("edits") + 1).select("id", "model", "key", *_NUMBERS).unionByName(any_key(side.where(F.size("chars") <= F.col("edits"))))
+        rows = _often(rare(side), seen).withColumn("place", F.row_number().over(order))
+        return rows.where("place <= take").select("id", "model", "key", *_NUMBERS).unionByName(any_key(side.where((F.size("chars") <= F.col("edits")) & ~by_grams)))
 
     def all_chars(side: DataFrame) -> DataFrame:
         return chars(side).select("id", "model", "key", *_NUMBERS).unionByName(any_key(side))
