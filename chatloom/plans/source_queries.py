@@ -1,11 +1,12 @@
 """Readers, writers and file operations as queries: whole tables on a round trip through a format, compared with the table itself.
 
-The database queries use an in-memory Derby, which lives in the driver's JVM: they run where the executors share it (local masters)."""
+The database queries use an embedded Derby, which lives in the driver's JVM; where the executors don't share it, rows pass the driver."""
 
 from __future__ import annotations
 
 import os
-import uuid
+import shutil
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,17 +133,20 @@ def robot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _derby(use):
-    """A query over a database of its own, which is dropped once the result is written."""
+    """A query over a database of its own, in a folder of the driver (its heap may be smaller), which is removed once the result is written."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        url = f"jdbc:derby:memory:chatloom{uuid.uuid4().hex}"
-        driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-        out = materialize(use(spark, sf_dir, {"url": f"{url};create=true", **driver}), "database")
+        folder = tempfile.mkdtemp(prefix="chatloom-derby-")
+        url, driver = f"jdbc:derby:{folder}/db", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
         try:
-            so.execute_jdbc(spark, {"url": f"{url};drop=true", **driver}, [])
-        except Exception as e:  # Derby tells of a dropped database by an error
-            if "dropped" not in str(e):
-                raise
+            out = materialize(use(spark, sf_dir, {"url": f"{url};create=true", **driver}), "database")
+            try:
+                so.execute_jdbc(spark, {"url": f"{url};shutdown=true", **driver}, [])
+            except Exception as e:  # Derby tells of a closed database by an error
+                if "shutdown" not in str(e):
+                    raise
+        finally:
+            shutil.rmtree(folder, ignore_errors=True)
         return out
 
     return run

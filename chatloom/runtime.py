@@ -20,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def all_in_one_process(spark: SparkSession) -> bool:
+    """Whether the executors live in the driver's process."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir as the cluster set it.
 
@@ -27,7 +32,7 @@ def shared_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
-        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        if not all_in_one_process(spark):
             raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {sc.master} share")
         base = f"file://{tempfile.mkdtemp(prefix='chatloom-')}"
         sc.setCheckpointDir(base)
