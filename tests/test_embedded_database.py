@@ -7,7 +7,7 @@ from pathlib import Path
 import pyspark
 import pytest
 
-QUERIES = ["jdbc_scan"]
+QUERIES = ["jdbc_scan", "jdbc_append"]
 SCRIPT = """
 import json, sys
 from pyspark.sql import SparkSession
