@@ -7,7 +7,7 @@ from pathlib import Path
 import pyspark
 import pytest
 
-QUERIES = ["jdbc_scan", "jdbc_append"]
+QUERIES = ["jdbc_scan", "jdbc_append", "jdbc_settings"]
 SCRIPT = """
 import json, sys
 from pyspark.sql import SparkSession
