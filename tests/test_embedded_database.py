@@ -7,7 +7,7 @@ from pathlib import Path
 import pyspark
 import pytest
 
-QUERIES = ["jdbc_scan", "jdbc_append", "jdbc_settings", "jdbc_statements", "jdbc_months"]
+QUERIES = ["jdbc_scan", "jdbc_append", "jdbc_settings", "jdbc_statements", "jdbc_months", "jdbc_batches"]
 SCRIPT = """
 import json, sys
 from pyspark.sql import SparkSession
