@@ -19,7 +19,7 @@ from chatloom.functions import similarity as sm
 from chatloom.functions.clean import bind
 from chatloom.operators.pairs import _block, bag, costly_bag, signature, spread
 from chatloom.operators.ranking import numbered
-from chatloom.runtime import materialize
+from chatloom.runtime import batches, materialize, scratch_path
 
 #: Rows of similar pairs of a group that go to one task; larger groups are clustered in rounds.
 MAX_PAIRS = 1_280_000
@@ -29,20 +29,158 @@ KEY_BITS = 16
 BITS = "abcd"
 GROUP_LENGTH = 1000
 ITERATIONS = 20
+#: Centres of a block, blocks that a task keeps, rows that are placed at once, and of these, rows whose products are held.
+BLOCK, BLOCKS, POINTS, STEP = 256, 2, 1 << 16, 1 << 12
+#: In place of a feature's number: the rows of a group, and the sum of their squared distances.
+COUNT, COST = -1, -2
 SIMILARITY = 0.66
 
 
 def kmeans_groups(df: DataFrame, tokens: str, group_length: int = GROUP_LENGTH, seed: int = 1, features: int = 1 << 18) -> DataFrame:
-    """Rows with the group of a K-means over TF-IDF vectors; one group for each ``group_length`` rows, at least one."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import IDF, HashingTF
+    """Rows with the group of a K-means over TF-IDF vectors; one group for each ``group_length`` rows, at least one.
 
+    Centres start from random rows and are moved ITERATIONS times at most, fewer where no row comes nearer any more. They are as many as the
+    rows' thousandth, so they don't pass the driver: their sums are a table in the shared folder, sparse and in blocks of BLOCK groups, which
+    the tasks read block by block. A centre left by all rows stays where it is."""
     k = max(1, df.count() // group_length)
     if k == 1:
         return df.withColumn("group", F.lit(0))
-    stages = [HashingTF(inputCol=tokens, outputCol="_tf", numFeatures=features), IDF(inputCol="_tf", outputCol="_tfidf"), KMeans(k=k, maxIter=ITERATIONS, seed=seed, initMode="random", featuresCol="_tfidf", predictionCol="group")]
-    return Pipeline(stages=stages).fit(df).transform(df).drop("_tf", "_tfidf")
+    rows = materialize(df.withColumn("_id", F.monotonically_increasing_id()), "kmeans-rows")
+    spark = rows.sparkSession
+    hashed = F.transform(F.filter(F.coalesce(tokens, F.array().cast("array<string>")), lambda x: x.isNotNull()), lambda x: F.pmod(F.xxhash64(x), F.lit(features)).cast("int"))
+    words = rows.select("_id", hashed.alias("f"))
+    points = materialize(words.mapInArrow(_weighted(_idf(words, features)), "_id long, f array<int>, w array<float>"), "kmeans-points")
+    # About 2 k rows by a hash of their numbers, of which the k least, each vector once.
+    place = F.pmod(F.xxhash64(F.lit(seed), "_id"), F.lit(1 << 32))
+    some = points.withColumn("_place", place).where(F.col("_place") < int((1 << 32) * min(1.0, (2 * k + 64) / max(1, rows.count()))))
+    drawn = numbered(some, ["_place", "_id"], "_rank").where(F.col("_rank") < k)
+    drawn = numbered(drawn.groupBy("f", "w").agg(F.min("_rank").alias("_rank")), ["_rank"], "_group")
+    k = drawn.count()
+    group = F.col("_group").cast("int").alias("group")
+    sums = drawn.select(group, F.explode(F.arrays_zip("f", "w")).alias("e")).select("group", F.col("e.f").alias("feature"), F.col("e.w").cast("double").alias("value"))
+    path = _centres(sums.unionByName(drawn.select(group, F.lit(COUNT).alias("feature"), F.lit(1.0).alias("value"))))
+    cost = math.inf
+    for _ in range(ITERATIONS):
+        sums = points.mapInArrow(_nearest(path, k, features, True), "group int, feature int, value double").groupBy("group", "feature").agg(F.sum("value").alias("value"))
+        now = _centres(sums)
+        held = spark.read.schema(_SUMS).parquet(now)
+        told = held.where("feature < 0").agg(F.sum(F.when(F.col("feature") == COST, F.col("value"))).alias("cost"), F.count_if(F.col("feature") == COUNT).alias("n")).first()
+        if not told["cost"] < cost * (1 - 1e-9):
+            break
+        if told["n"] < k:
+            _centres(spark.read.schema(_SUMS).parquet(path).where(F.col("feature") != COST).drop("block").join(held.select("group").distinct(), "group", "left_anti"), now)
+        path, cost = now, told["cost"]
+    found = points.select("_id", "f", "w").mapInArrow(_nearest(path, k, features, False), "_id long, group int")
+    return rows.join(found, "_id").drop("_id")
+
+
+_SUMS = "group int, feature int, value double, block int"
+
+
+def _centres(sums: DataFrame, path: str | None = None) -> str:
+    """Sums of the groups' vectors written by blocks of groups; the folder."""
+    path = path or scratch_path(sums.sparkSession, "kmeans-centres")
+    sums.withColumn("block", F.floor(F.col("group") / BLOCK).cast("int")).write.mode("append").partitionBy("block").parquet(path)
+    return path
+
+
+def _idf(words: DataFrame, features: int):
+    """The inverse document frequency of each feature, sent to all executors."""
+    got = words.select(F.explode(F.array_distinct("f")).alias("feature")).groupBy("feature").agg(F.count("*").alias("n")).toPandas()
+    n = np.zeros(features)
+    n[got["feature"].to_numpy(int)] = got["n"].to_numpy(float)
+    return words.sparkSession.sparkContext.broadcast(np.log((words.count() + 1) / (n + 1)))
+
+
+def _weighted(idf):
+    """TF-IDF vectors: the distinct features of each row and their weights."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            f = b.column("f")
+            flat = f.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(b.num_rows), f.value_lengths().to_numpy(zero_copy_only=False))
+            keys, n = np.unique(row * len(idf.value) + flat, return_counts=True)
+            row, flat = np.divmod(keys, len(idf.value))
+            ends = pa.array(np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (flat.astype(np.int32), (n * idf.value[flat]).astype(np.float32))]
+            yield pa.RecordBatch.from_arrays([b.column("_id"), *lists], names=["_id", "f", "w"])
+
+    return run
+
+
+def _block_of(path: str, block: int):
+    """Group, feature and value of a block's centres, and the square of each centre's length."""
+    from pyarrow import dataset, fs
+
+    system, folder = fs.FileSystem.from_uri(f"{path}/block={block}")
+    got = dataset.dataset(folder, filesystem=system, format="parquet").to_table(columns=["group", "feature", "value"])
+    group, feature, value = (got.column(c).to_numpy() for c in ("group", "feature", "value"))
+    group = group - block * BLOCK
+    count, own = np.ones(BLOCK), feature >= 0
+    count[group[feature == COUNT]] = value[feature == COUNT]
+    group, feature, value = group[own], feature[own], value[own] / count[group[own]]
+    return group, feature, value.astype(np.float32), np.bincount(group, value * value, BLOCK)
+
+
+def _nearest(path: str, k: int, features: int, summed: bool):
+    """The group of the nearest centre of each row, the first of equals; ``summed``: the sums of each group's vectors instead, with the number
+    of its rows as feature COUNT and the sum of their squared distances as COST."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {}
+        for b in batches(it, POINTS):
+            if not b.num_rows:
+                continue
+            b = b.combine_chunks()
+            f, w = (b.column(c).combine_chunks() for c in ("f", "w"))
+            flat, weight = f.flatten().to_numpy(), w.flatten().to_numpy()
+            size = f.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            # The rows with most features first: those with a j-th one are the first rows then.
+            order = np.argsort(-size, kind="stable")
+            start = (np.cumsum(size) - size)[order]
+            lengths = size[order]
+            known, local = np.unique(flat, return_inverse=True)
+            best, near = np.full(b.num_rows, np.inf), np.zeros(b.num_rows, np.int32)
+            for block in range(-(-k // BLOCK)):
+                if block not in held:
+                    held = {**held, block: _block_of(path, block)} if len(held) < BLOCKS else {block: _block_of(path, block)}
+                group, feature, value, square = held[block]
+                width = min(BLOCK, k - block * BLOCK)
+                at = np.searchsorted(known, feature)
+                met = at < len(known)
+                met[met] = known[at[met]] == feature[met]
+                table = np.zeros((len(known), width), np.float32)
+                table[at[met], group[met]] = value[met]
+                for low in range(0, b.num_rows, STEP):
+                    mine = slice(low, low + STEP)
+                    begin, long = start[mine], lengths[mine]
+                    dot = np.zeros((len(begin), width), np.float32)
+                    for j in range(int(long[0])):
+                        m = int(np.searchsorted(-long, -j, side="left"))
+                        e = begin[:m] + j
+                        dot[:m] += table[local[e]] * weight[e, None]
+                    far = square[:width] - 2.0 * dot
+                    pick = far.argmin(1)
+                    far = far[np.arange(len(pick)), pick]
+                    rows = order[mine]
+                    nearer = far < best[rows]
+                    best[rows[nearer]], near[rows[nearer]] = far[nearer], pick[nearer] + block * BLOCK
+            if not summed:
+                yield pa.RecordBatch.from_arrays([b.column("_id").combine_chunks(), pa.array(near)], names=["_id", "group"])
+                continue
+            row = np.repeat(np.arange(b.num_rows), size)
+            keys, inverse = np.unique(near[row] * np.int64(features) + flat, return_inverse=True)
+            group, feature = np.divmod(keys, features)
+            groups, n = np.unique(near, return_counts=True)
+            cost = float(best.sum() + np.square(weight.astype(float)).sum())
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([group, groups, groups[:1]]).astype(np.int32)),
+                pa.array(np.concatenate([feature, np.full(len(groups), COUNT), [COST]]).astype(np.int32)),
+                pa.array(np.concatenate([np.bincount(inverse, weight, len(keys)), n, [cost]])),
+            ], names=["group", "feature", "value"])
+
+    return run
 
 
 def _frequencies(each: DataFrame):

@@ -120,3 +120,25 @@ def test_kmeans_groups(spark):
     got = cl.kmeans_groups(df, "t", 10, features=64)
     assert got.count() == 20 and got.select("group").distinct().count() <= 2
     assert cl.kmeans_groups(df, "t", 1000).select(F.max("group")).first()[0] == 0
+
+
+def test_kmeans_centres_do_not_pass_the_driver(spark):
+    # Dense centres would take 300 times 2^22 numbers, 10 GB.
+    rnd = random.Random(3)
+    df = spark.createDataFrame([(i, [rnd.choice("abcdefgh") + str(i % 40) for _ in range(3)]) for i in range(600)] + [(600, []), (601, None)], "i int, t array<string>")
+    got = cl.kmeans_groups(df, "t", 2, features=1 << 22).collect()
+    assert len(got) == 602 and {r.i for r in got} == set(range(602)) and 200 < len({r.group for r in got}) <= 301 and max(r.group for r in got) < 301
+
+
+def test_kmeans_rows_are_nearest_to_the_mean_of_their_group(spark):
+    rnd = random.Random(4)
+    rows = [(i, [f"{'xyz'[i % 3]}{rnd.randrange(12)}" for _ in range(5)]) for i in range(300)]
+    got = cl.kmeans_groups(spark.createDataFrame(rows, "i int, t array<string>"), "t", 50).collect()
+    words = sorted({w for _, t in rows for w in t})
+    idf = np.log(301 / (1 + np.array([sum(w in t for _, t in rows) for w in words])))
+    x = np.array([[r.t.count(w) for w in words] for r in got]) * idf
+    groups = sorted({r.group for r in got})
+    mine = np.array([groups.index(r.group) for r in got])
+    means = np.array([x[mine == g].mean(0) for g in range(len(groups))])
+    far = ((x[:, None] - means) ** 2).sum(2)
+    assert 2 <= len(groups) <= 6 and (far[np.arange(len(x)), mine] <= far.min(1) + 1e-4).all()
