@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -151,6 +152,21 @@ def words_job(log: DataFrame, c: JobConfig) -> dict[str, DataFrame]:
     return {"words": mi.hierarchy_words(t["categories"], t["classes"], t["words"], [r.id for r in t["roots"].collect()], c.excluded_faqs)}
 
 
+class Outputs(dict):
+    """Outputs by name, each made when it is first asked for: one that takes hours isn't made for another that doesn't need it."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if not isinstance(super().__getitem__(name), DataFrame):
+            self[name] = super().__getitem__(name)()
+        return super().__getitem__(name)
+
+    def items(self) -> list[tuple[str, DataFrame]]:
+        return [(name, self[name]) for name in self]
+
+    def values(self) -> list[DataFrame]:
+        return [self[name] for name in self]
+
+
 def mining_job(log: DataFrame, c: JobConfig) -> dict[str, DataFrame]:
     """Question and answer pairs of the dialogues about the words, the questions' clusters and weights, and the answers of each question
     cluster clustered in turn: the cores of the clusters, with their weights."""
@@ -161,14 +177,23 @@ def mining_job(log: DataFrame, c: JobConfig) -> dict[str, DataFrame]:
     chat = said.select("dialogue", "s.speaker", "s.text", (F.row_number().over(order) - 1).alias("place"))
     about = [r.name for r in words_job(log, c)["words"].collect()] if "words" in c.tables else c.domain  # a dictionary, not data
     pairs = materialize(mi.dialogue_pairs(chat, about, _ignored(log, c)), "qa")
-    questions = pairs.select("question").distinct().withColumn("tokens", segment.tokenize(F.col("question"), c.tokens))
-    clusters = materialize(cl.density_clusters(cl.kmeans_groups(questions, "tokens"), "group", "question"), "clusters")
-    named = clusters.withColumn("id", cl.cluster_id("group", "cluster"))
-    plain = clean.replace_symbol_to_space(clean.remove_head_and_tail_symbol(F.col("answer")))
-    answers = materialize(named.select("id", F.col("text").alias("question")).join(pairs, "question").select("id", "answer", plain.alias("plain")).distinct(), "answers")
-    of = cl.density_clusters(answers, "id", "plain")
-    weighted = of.join(cl.cluster_weights(of), ["group", "cluster"]).where("flag = 1").select(F.col("group").alias("id"), "cluster", "weight", F.col("text").alias("plain"))
-    return {"pairs": pairs, "clusters": named, "weights": cl.cluster_weights(clusters), "answers": weighted.join(answers, ["id", "plain"]).select("id", "cluster", "weight", "answer")}
+
+    @cache
+    def clusters() -> DataFrame:
+        questions = pairs.select("question").distinct().withColumn("tokens", segment.tokenize(F.col("question"), c.tokens))
+        return materialize(cl.density_clusters(cl.kmeans_groups(questions, "tokens"), "group", "question"), "clusters")
+
+    def named() -> DataFrame:
+        return clusters().withColumn("id", cl.cluster_id("group", "cluster"))
+
+    def answers() -> DataFrame:
+        plain = clean.replace_symbol_to_space(clean.remove_head_and_tail_symbol(F.col("answer")))
+        answers = materialize(named().select("id", F.col("text").alias("question")).join(pairs, "question").select("id", "answer", plain.alias("plain")).distinct(), "answers")
+        of = cl.density_clusters(answers, "id", "plain")
+        weighted = of.join(cl.cluster_weights(of), ["group", "cluster"]).where("flag = 1").select(F.col("group").alias("id"), "cluster", "weight", F.col("text").alias("plain"))
+        return weighted.join(answers, ["id", "plain"]).select("id", "cluster", "weight", "answer")
+
+    return Outputs({"pairs": lambda: pairs, "clusters": named, "weights": lambda: cl.cluster_weights(clusters()), "answers": answers})
 
 
 def clean_job(log: DataFrame, c: JobConfig) -> dict[str, DataFrame]:

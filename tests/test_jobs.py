@@ -81,3 +81,13 @@ def test_robot_answers(spark):
     ask = lambda q: (1, "" if q == "a" else "yes")
     assert sorted(r.id for r in so.ask_robot(df, "q", ask, [1], at_once=2).collect()) == [1, 4]
     assert [(r.id, r.robot_answer) for r in so.ask_robot(df, "q", ask, [1], True).orderBy("id").collect()] == [(2, "yes"), (3, "yes")]
+
+
+def test_mined_pairs_need_no_clusters(spark, monkeypatch):
+    rows = log(spark, [{"question": "路由器怎么安装呢请问", "answer": "请先打开电源再连接网线就行"}])
+    made = []
+    monkeypatch.setattr(jobs.cl, "density_clusters", lambda df, group, text: made.append(text) or df.select(F.col(group).alias("group"), F.lit(0).alias("cluster"), F.col(text).alias("text"), F.lit(1).alias("flag")))
+    out = jobs.run_job("mining", spark, rows, jobs.JobConfig(ref="2023-05-30", domain=["路由器"]))
+    assert out["pairs"].count() == 1 and made == []
+    assert out["weights"].count() == 1 == out["clusters"].count() and made == ["question"]  # once for both
+    assert len(out.items()) == len(out.values()) == 4 and made == ["question", "plain"]
