@@ -9,24 +9,19 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatloom.functions import similarity as sm
-from chatloom.functions.clean import bind
-from chatloom.operators.pairs import _block, bag, costly_bag, signature, spread
+from chatloom.operators.cells import in_cells, runs
+from chatloom.operators.pairs import _block, bag, spread
 from chatloom.operators.ranking import numbered
 from chatloom.runtime import batches, materialize, scratch_path
 
 #: Rows of similar pairs of a group that go to one task; larger groups are clustered in rounds.
 MAX_PAIRS = 1_280_000
-#: Buckets of key frequencies, 2 to this power.
-KEY_BITS = 16
-#: Names of the numbers that make up a signature of characters: 64 bits each.
-BITS = "abcd"
 GROUP_LENGTH = 1000
 ITERATIONS = 20
 #: Centres of a block, blocks that a task keeps, rows that are placed at once, and of these, rows whose products are held.
@@ -183,95 +178,57 @@ def _nearest(path: str, k: int, features: int, summed: bool):
     return run
 
 
-def _frequencies(each: DataFrame):
-    """How often the keys of each bucket come, sent to all executors: 2^KEY_BITS numbers. They only order keys, rare ones first."""
-    bucket = F.col("key").bitwiseAND(F.lit((1 << KEY_BITS) - 1))
-    got = each.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).toPandas()
-    counts = np.zeros(1 << KEY_BITS, np.int64)
-    counts[got["bucket"].to_numpy(int)] = got["n"].to_numpy(np.int64)
-    return each.sparkSession.sparkContext.broadcast(counts)
-
-
-def _rarest(frequencies):
-    """Rows with their ``lost`` + 1 rarest keys, one row each."""
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, names = frequencies.value, ["id", "n", "m", *BITS]
-        for b in it:
-            keys = b.column("keys")
-            size = keys.value_lengths().to_numpy(zero_copy_only=False)
-            flat = keys.flatten().to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(b.num_rows), size)
-            order = np.lexsort((flat, counts[flat & ((1 << KEY_BITS) - 1)], row))
-            place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
-            pick = order[place <= b.column("lost").to_numpy()[row]]
-            for k in range(0, len(pick), 1 << 16):
-                at = pick[k : k + (1 << 16)]
-                rows = pa.array(row[at])
-                yield pa.RecordBatch.from_arrays([*(b.column(c).take(rows) for c in names), pa.array(flat[at])], names=[*names, "key"])
-
-    return run
+def _texts(df: DataFrame, group: str, text: str) -> DataFrame:
+    """The distinct texts of each group: group, x, with the group's number g and the text's place r in it by name."""
+    rows = df.select(F.col(group).alias("group"), F.col(text).alias("x")).where("x is not null").distinct().withColumn("_id", F.monotonically_increasing_id())
+    order = W.partitionBy("group").orderBy("x")
+    return materialize(rows.select("group", "x", F.first("_id").over(order).alias("g"), (F.row_number().over(order) - 1).cast("long").alias("r")), "group-texts")
 
 
 def similar_in_group(df: DataFrame, group: str, text: str, t: float = SIMILARITY) -> DataFrame:
-    """Ordered pairs of different texts of a group whose edit similarity reaches t: group, a, b, sim.
-
-    Within k = (1 - t) * length edits of the longer text at most 2k of its pairs of neighbouring costly characters are lost. So one of its
-    2k + 1 rarest pairs is in the shorter text: these meet all pairs of the texts that are no longer. A text with no more than 2k pairs
-    meets all texts that are no longer. The numbers of costly characters differ by no more than k."""
-    rows = df.select(F.col(group).alias("group"), F.col(text).alias("x")).where("x is not null").distinct()
-    # Numbered once and kept with what the bounds need, so that candidate pairs are pairs of numbers.
-    bare = F.regexp_replace("x", f"[{sm.FREE}]", "")
-    none = F.array().cast("array<string>")
-    grams = bind(bare, lambda b: F.when(F.length(b) >= 2, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(b) - 1), lambda i: F.substring(b, i, F.lit(2))))).otherwise(none))
-    rows = rows.withColumn("id", F.monotonically_increasing_id()).withColumn("cs", signature(costly_bag(F.col("x")), BITS))
-    rows = materialize(rows.select("group", "x", "id", F.length("x").alias("n"), F.length(bare).alias("m"), grams.alias("grams"), "cs"), "group-texts").select("*", "cs.*")
-    lost = lambda n: (2 * F.floor((1 - t) * F.col(n) + F.lit(1e-6))).cast("int")
-    made = rows.withColumn("lost", lost("n"))
-    # A key is a number for group and pair; two that fall together only bring more candidates, whose groups are compared below.
-    key = lambda c: F.xxhash64("group", c)
-    numbers = ["id", "n", "m", *BITS]
-    keyed = made.select(*numbers, "lost", key(F.lit("")).alias("any"), F.transform("grams", key).alias("keys"))
-    each, whole = keyed.select(*numbers, F.explode("keys").alias("key")), keyed.select(*numbers, F.col("any").alias("key"), "lost", "keys")
-    named = lambda d, s: d.select("key", *[F.col(c).alias(f"{c}_{s}") for c in numbers])
-    rarest = keyed.select(*numbers, "lost", "keys").mapInArrow(_rarest(_frequencies(each)), f"id long, n int, m int, {', '.join(f'{c} long' for c in BITS)}, key long")
-    long = named(rarest, "i").unionByName(named(whole.where(F.size("keys") <= F.col("lost")), "i"))
-    short = named(each, "j").unionByName(named(whole, "j"))
-    # No more than k characters of either text are lacking in the other: tested on signatures within the join.
-    lacks = lambda p, q: sum(F.bit_count(F.col(f"{c}_{p}").bitwiseAND(F.bitwise_not(F.col(f"{c}_{q}")))) for c in BITS)
-    near = (F.col("n_i") >= F.col("n_j")) & (F.col("id_i") != F.col("id_j")) & (2 * F.greatest(F.abs(F.col("m_i") - F.col("m_j")), lacks("i", "j"), lacks("j", "i")) <= lost("n_i"))
-    met = long.join(short, "key").where(near).select(F.least("id_i", "id_j").alias("i"), F.greatest("id_i", "id_j").alias("j")).distinct()
-    left, right = rows.select(F.col("id").alias("i"), "group", F.col("x").alias("a")), rows.select(F.col("id").alias("j"), F.col("group").alias("other"), F.col("x").alias("b"))
-    pairs = met.join(left, "i").join(right, "j").where(F.col("group").eqNullSafe(F.col("other"))).select("group", "a", "b")
-    scored = materialize(spread(pairs).withColumn("sim", sm.edit_similar(F.col("a"), F.col("b"), 1 - t)).where(F.col("sim") >= t), "group-pairs")
+    """Ordered pairs of different texts of a group whose edit similarity reaches t: group, a, b, sim."""
+    rows = _texts(df, group, text)
+    pairs = materialize(in_cells(rows.select("g", F.col("r").alias("id"), "x"), t), "group-pairs")
+    one, two = rows.select("g", F.col("r").alias("i"), "group", F.col("x").alias("a")), rows.select("g", F.col("r").alias("j"), F.col("x").alias("b"))
+    scored = materialize(pairs.join(one, ["g", "i"]).join(two, ["g", "j"]).select("group", "a", "b", "sim"), "group-pairs")
     return scored.unionByName(scored.select("group", F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
 
 
-def _greedy(rows: pd.DataFrame) -> pd.DataFrame:
-    """rows: group, a, b, sim (b null for a text without neighbours). Texts in falling number of neighbours, then by name."""
-    near: dict[str, list[tuple[float, str]]] = {}
-    for a, b, s in zip(rows["a"], rows["b"], rows["sim"]):
-        mine = near.setdefault(a, [(math.inf, a)])
-        if b is not None and b == b:
-            mine.append((s, b))
-    of: dict[str, tuple[int, int]] = {}
-    out, last = [], -1
-    for text in sorted(near, key=lambda x: (-len(near[x]), x)):
-        if text in of:
+def _greedy(a: np.ndarray, b: np.ndarray, sim: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a group's pairs in both directions (b null for each text itself): texts, their clusters and flags. Texts are numbered by name."""
+    own = np.isnan(b)
+    n = int(own.sum())
+    a, b, sim = a[~own].astype(np.int64), b[~own].astype(np.int64), sim[~own]
+    order = np.lexsort((b, -sim, a))
+    b, near = b[order], np.bincount(a, minlength=n)
+    start = np.cumsum(near) - near
+    of, flag, last = np.full(n, -1, np.int64), np.ones(n, np.int32), -1
+    turn = np.lexsort((np.arange(n), -near))
+    linked = int((near > 0).sum())
+    for text in turn[:linked]:
+        if of[text] >= 0:
             continue
-        ordered = sorted(near[text], key=lambda p: (-p[0], p[1]))
-        free = [b for _, b in ordered if b not in of]
-        taken = [of[b] for _, b in ordered if b in of]
-        core = next((c for c in taken if c[1] == 1), None)
-        if core is None:
-            last += 1
-            mine = (last, 1)
+        mine = b[start[text] : start[text] + near[text]]
+        taken = of[mine] >= 0
+        core = mine[taken & (flag[mine] == 1)][:1]
+        free = np.append(mine[~taken], text)
+        if len(core):
+            of[free], flag[free] = of[core[0]], 0
         else:
-            mine = (core[0], 0)
-        for b in free:
-            of[b] = mine
-            out.append((rows["group"].iloc[0], mine[0], b, mine[1]))
-    return pd.DataFrame(out, columns=["group", "cluster", "text", "flag"])
+            last += 1
+            of[free] = last
+    of[turn[linked:]] = last + 1 + np.arange(n - linked)  # texts without neighbours
+    return np.arange(n), of, flag
+
+
+def _greedy_runs(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in runs(it, ["group"], 1 << 12):
+        g, a, b, sim = (part.column(c).to_numpy() for c in ("group", "a", "b", "sim"))
+        b = b.astype(float)  # null as NaN
+        edges = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1], [True])))
+        made = [(low, *_greedy(a[low:high], b[low:high], sim[low:high])) for low, high in zip(edges[:-1], edges[1:])]
+        columns = [np.concatenate([np.full(len(m[1]), g[m[0]]) for m in made]), *(np.concatenate([m[k] for m in made]) for k in (2, 1, 3))]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["group", "cluster", "text", "flag"])
 
 
 def _rounds(pairs: DataFrame, kind: str) -> DataFrame:
@@ -315,18 +272,21 @@ def density_clusters(df: DataFrame, group: str, text: str, t: float = SIMILARITY
     A text with the most neighbours opens a cluster with all its unassigned neighbours; one that has a core neighbour joins that cluster
     with its neighbours as edge; edges draw in none. Null texts are left out, repeated ones count once. A group of more than ``most`` rows
     of pairs isn't given to one task but clustered in rounds, with the same outcome."""
-    kind = df.schema[group].dataType.simpleString()
-    rows = df.select(F.col(group).alias("group"), F.col(text).alias("a")).where("a is not null").distinct()
-    pairs = similar_in_group(df, group, text, t)
-    alone = rows.select("group", "a", F.lit(None).cast("string").alias("b"), F.lit(None).cast("double").alias("sim"))
-    pairs = pairs.unionByName(alone)
-    large = materialize(pairs.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") > most).select(F.col("group").alias("_large")), "large-groups")
-    schema = f"group {kind}, cluster long, text string, flag int"
-    if not large.head(1):
-        return pairs.groupBy("group").applyInPandas(_greedy, schema)
-    same = F.col("group").eqNullSafe(F.col("_large"))
-    small = pairs.join(F.broadcast(large), same, "left_anti").groupBy("group").applyInPandas(_greedy, schema)
-    return small.unionByName(_rounds(pairs.join(F.broadcast(large), same, "left_semi"), kind))
+    # All in numbers: texts by their places by name in their groups, and each group's number as ``group``.
+    rows = _texts(df, group, text)
+    met = materialize(in_cells(rows.select("g", F.col("r").alias("id"), "x"), t), "group-pairs")
+    met = met.select(F.col("g").alias("group"), F.col("i").alias("a"), F.col("j").alias("b"), "sim")
+    alone = rows.select(F.col("g").alias("group"), F.col("r").alias("a"), F.lit(None).cast("long").alias("b"), F.lit(None).cast("double").alias("sim"))
+    pairs = met.unionByName(met.select("group", F.col("b").alias("a"), F.col("a").alias("b"), "sim")).unionByName(alone)
+    large = materialize(pairs.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") > most).select("group"), "large-groups")
+    some = bool(large.head(1))
+    small = pairs.join(F.broadcast(large), "group", "left_anti") if some else pairs
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    made = small.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(_greedy_runs, "group long, cluster long, text long, flag int")
+    if some:
+        made = made.unionByName(_rounds(pairs.join(F.broadcast(large), "group", "left_semi"), "long"))
+    named = made.select(F.col("group").alias("g"), "cluster", F.col("text").alias("r"), "flag").join(rows, ["g", "r"])
+    return named.select("group", "cluster", F.col("x").alias("text"), "flag")
 
 
 def cluster_weights(clusters: DataFrame, least: float = 0.0) -> DataFrame:
