@@ -55,3 +55,19 @@ def test_unlike_pairs_of_long_texts_cost_no_recurrence(monkeypatch):
     texts = ["不" + "".join(rnd.sample("abcdefghijklmnopqrstuvwxyz" * 4, 100)) for _ in range(600)]
     began = time.time()
     assert sum(len(a) for a, *_ in ce.Cell(pa.array(texts), 0.66).pairs()) == 0 and time.time() - began < 60
+
+
+def test_overlaps_of_a_cell_against_all_pairs():
+    from collections import Counter
+
+    rnd = random.Random(8)
+    words = [[rnd.choice(["a", "b", "cc", "不", "d", ""]) for _ in range(rnd.randint(1, 12))] for _ in range(150)]
+    texts = [chr(0x5000 + k) * 5 for k in range(150)]  # of no common character
+    found = [(min(p), max(p), s) for a, b, sim in ce.Cell(pa.array(texts), 0.7, pa.array(words)).pairs() for *p, s in zip(a.tolist(), b.tolist(), sim)]
+    bags, want = [Counter(w) for w in words], {}
+    for i in range(150):
+        for j in range(i + 1, 150):
+            both = sum((bags[i] & bags[j]).values())
+            if (s := both / (len(words[i]) + len(words[j]) - both)) >= 0.7:
+                want[i, j] = s
+    assert {(i, j): s for i, j, s in found} == want and len(found) == len(want) > 50
