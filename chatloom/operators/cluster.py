@@ -229,12 +229,50 @@ def _greedy_runs(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["group", "cluster", "text", "flag"])
 
 
-def _rounds(pairs: DataFrame, kind: str) -> DataFrame:
+def _finish(p: np.ndarray, q: np.ndarray, r: np.ndarray, sim: np.ndarray, cluster: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pass over a group's texts that rounds left free, from their links (cluster NaN) and the nearest core of each that has one: texts,
+    their clusters and flags."""
+    told = np.flatnonzero(~np.isnan(cluster))
+    near = {int(p[k]): (-sim[k], r[k], int(cluster[k])) for k in told}
+    own = np.flatnonzero(np.isnan(cluster))
+    own = own[np.lexsort((r[own], -sim[own], p[own]))]
+    texts, start = np.unique(p[own], return_index=True)
+    q, r, sim, end = np.searchsorted(texts, q[own]), r[own], sim[own], np.append(start[1:], len(own))
+    of, flag = np.full(len(texts), -1, np.int64), np.zeros(len(texts), np.int32)
+    for k, text in enumerate(texts):
+        if of[k] >= 0:
+            continue
+        mine, best = q[start[k] : end[k]], near.get(int(text))
+        taken = of[mine] >= 0
+        for core in start[k] + np.flatnonzero(taken & (flag[mine] == 1))[:1]:
+            here = (-sim[core], r[core], of[q[core]])
+            best = here if best is None else min(best, here)
+        free = mine[~taken]
+        of[free], flag[free] = (text, 1) if best is None else (best[2], 0)
+    return texts, of, flag
+
+
+def _finish_runs(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in runs(it, ["g"], 1 << 12):
+        g, *columns = (part.column(c).to_numpy() for c in ("g", "p", "q", "r", "sim", "cluster"))
+        edges = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1], [True])))
+        for low, high in zip(edges[:-1], edges[1:]):
+            texts, of, flag = _finish(*(c[low:high] for c in columns))
+            made = [np.full(len(texts), g[low]), texts.astype(np.int32), of.astype(np.int32), flag]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in made], names=["g", "q", "cluster", "flag"])
+
+
+_TAKEN = "g long, q int, cluster int, flag int"
+
+
+def _rounds(pairs: DataFrame, kind: str, most: int) -> DataFrame:
     """What ``_greedy`` gives for groups of any size, in rounds. pairs: group, a, b, sim, a null b for each text itself.
 
     Each round settles all free texts that come before every free text with which they share a free neighbour (themselves included). These
     take disjoint texts, and no text settled later could have come before them, so the outcome is that of one text after the other. The
-    first free text of a group is always settled; a round costs joins over the links between texts still free."""
+    first free text of a group is always settled; a round costs joins over the links between texts still free. Once no group has more than
+    ``most`` of these, each is finished by one task. What rounds settle is one table in the shared folder, so that the plan in the driver
+    doesn't grow with them."""
     # Numbers in place of texts: g a group, p the place in the order of the pass, r the place by name.
     groups = materialize(pairs.select("group").distinct().withColumn("g", F.monotonically_increasing_id()), "cluster-groups")
     numbered = pairs.join(F.broadcast(groups.withColumnRenamed("group", "_group")), F.col("group").eqNullSafe(F.col("_group"))).select("g", "a", "b", "sim")
@@ -247,18 +285,24 @@ def _rounds(pairs: DataFrame, kind: str) -> DataFrame:
     links = materialize(numbered.withColumn("b", F.coalesce("b", "a")).join(left, ["g", "a"]).join(right, ["g", "b"]).select("g", "p", "q", "r", "sim"), "cluster-links")
     # near: the most similar core neighbour so far (then by name) with its cluster, which the place of its first text names.
     free = materialize(texts.select("g", "p", F.lit(None).cast("struct<far:double,r:int,cluster:int>").alias("near")), "cluster-free")
-    made = None
-    while free.head(1):
+    spark, path, turn = pairs.sparkSession, scratch_path(pairs.sparkSession, "cluster-taken"), 0
+    while links.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") > most).head(1):
         first = links.groupBy("g", "q").agg(F.min("p").alias("first"))
         ready = links.join(first, ["g", "q"]).groupBy("g", "p").agg(F.min("first").alias("first")).where(F.col("first") == F.col("p")).select("g", "p")
         opened = free.join(ready, ["g", "p"]).select("g", "p", F.coalesce("near.cluster", "p").alias("cluster"), F.col("near").isNull().cast("int").alias("flag"))
-        now = materialize(links.join(opened, ["g", "p"]).select("g", "q", "r", "cluster", "flag"), "cluster-taken")
-        made = now if made is None else made.unionByName(now)
+        links.join(opened, ["g", "p"]).select("g", "q", "r", "cluster", "flag").write.parquet(f"{path}/round={turn}")
+        now = spark.read.schema("g long, q int, r int, cluster int, flag int").parquet(f"{path}/round={turn}")
+        turn += 1
         gone = now.select("g", F.col("q").alias("p"))
         still = links.join(gone, ["g", "p"], "left_anti")
         met = still.join(now.where("flag = 1").select("g", "q", "cluster"), ["g", "q"]).groupBy("g", "p").agg(F.min(F.struct((-F.col("sim")).alias("far"), "r", "cluster")).alias("met"))
         free = materialize(free.join(gone, ["g", "p"], "left_anti").join(met, ["g", "p"], "left").select("g", "p", F.least("near", "met").alias("near")), "cluster-free")
         links = materialize(still.join(now.select("g", "q"), ["g", "q"], "left_anti"), "cluster-links")
+    near = free.where("near is not null").select("g", "p", F.col("p").alias("q"), "near.r", (-F.col("near.far")).alias("sim"), "near.cluster")
+    left = links.withColumn("cluster", F.lit(None).cast("int")).unionByName(near)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    left.repartition(parts, "g").sortWithinPartitions("g").mapInArrow(_finish_runs, _TAKEN).write.parquet(f"{path}/round={turn}")
+    made = spark.read.schema(_TAKEN).parquet(path).drop("round")
     ids = made.select("g", "cluster").distinct().withColumn("id", F.row_number().over(order.orderBy("cluster")) - 1)
     named = made.join(ids, ["g", "cluster"]).join(texts.select("g", F.col("p").alias("q"), "text"), ["g", "q"]).join(F.broadcast(groups), "g")
     return named.select(F.col("group").cast(kind), F.col("id").cast("long").alias("cluster"), "text", "flag")
@@ -269,7 +313,7 @@ def density_clusters(df: DataFrame, group: str, text: str, t: float = SIMILARITY
 
     A text with the most neighbours opens a cluster with all its unassigned neighbours; one that has a core neighbour joins that cluster
     with its neighbours as edge; edges draw in none. Null texts are left out, repeated ones count once. A group of more than ``most`` rows
-    of pairs isn't given to one task but clustered in rounds, with the same outcome."""
+    of pairs isn't given to one task but clustered in rounds until that many are left, with the same outcome."""
     # All in numbers: texts by their places by name in their groups, and each group's number as ``group``.
     rows = _texts(df, group, text)
     met = materialize(in_cells(rows.select("g", F.col("r").alias("id"), "x"), t), "group-pairs")
@@ -282,7 +326,7 @@ def density_clusters(df: DataFrame, group: str, text: str, t: float = SIMILARITY
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     made = small.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(_greedy_runs, "group long, cluster long, text long, flag int")
     if some:
-        made = made.unionByName(_rounds(pairs.join(F.broadcast(large), "group", "left_semi"), "long"))
+        made = made.unionByName(_rounds(pairs.join(F.broadcast(large), "group", "left_semi"), "long", most))
     named = made.select(F.col("group").alias("g"), "cluster", F.col("text").alias("r"), "flag").join(rows, ["g", "r"])
     return named.select("group", "cluster", F.col("x").alias("text"), "flag")
 

@@ -53,6 +53,31 @@ def test_density_clusters_in_rounds(spark, seed):
     assert read(50) == want and {f for *_, f in want} == {0, 1} and len(want) == len({r for r in rows if r[1]})
 
 
+def test_rounds_end_once_a_task_can_finish(spark, monkeypatch):
+    """Pairs of a large group and of a chain of texts, which takes many rounds: rounds end at ``most`` rows, and the plan doesn't grow with them."""
+    rnd = random.Random(1)
+    links = {(0, a, b): rnd.randint(7, 10) / 10 for a, b in itertools.combinations(range(30), 2)}
+    links |= {(g, a, b): rnd.randint(7, 10) / 10 for g in (0, 5) for a in range(30, 66) for b in range(a + 1, min(66, a + rnd.randint(2, 4)))}
+    links |= {(0, 0, 30): 0.7, (0, 3, 31): 0.9, (0, 29, 45): 0.8}
+    rows = [x for (g, a, b), s in links.items() for x in ((g, a, b, s), (g, b, a, s))] + [(g, a, None, None) for g, a in {(g, x) for g, *ab in links for x in ab}]
+    pairs = spark.createDataFrame(rows, "group long, a long, b long, sim double")
+    tags = []
+    monkeypatch.setattr(cl, "materialize", lambda df, tag, made=cl.materialize: tags.append(tag) or made(df, tag))
+    want = []
+    for g in (0, 5):
+        own = np.array([x[1:] for x in rows if x[0] == g], float)
+        low = own[:, 0].min()
+        want += [(g, int(c), int(x + low), int(f)) for x, c, f in zip(*cl._greedy(own[:, 0] - low, own[:, 1] - low, own[:, 2]))]
+    n = {}
+    for most in (0, 300):
+        tags.clear()
+        made = cl._rounds(pairs, "long", most)
+        assert sorted(map(tuple, made.collect())) == sorted(want)
+        n[most] = tags.count("cluster-links") - 1
+        assert made._jdf.queryExecution().optimizedPlan().toString().count("Relation [") <= 4
+    assert 1 <= n[300] <= 2 and n[0] > 4
+
+
 def test_large_group_is_not_refused(spark):
     df = spark.createDataFrame([("g", "aaaaaaaaaa"), ("g", "aaaaaaaaab")], "g string, t string")
     assert cl.density_clusters(df, "g", "t", 0.85, most=0).count() == 2
