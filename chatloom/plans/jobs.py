@@ -189,7 +189,7 @@ def mining_job(log: DataFrame, c: JobConfig) -> dict[str, DataFrame]:
     def answers() -> DataFrame:
         plain = clean.replace_symbol_to_space(clean.remove_head_and_tail_symbol(F.col("answer")))
         answers = materialize(named().select("id", F.col("text").alias("question")).join(pairs, "question").select("id", "answer", plain.alias("plain")).distinct(), "answers")
-        of = cl.density_clusters(answers, "id", "plain")
+        of = materialize(cl.density_clusters(answers, "id", "plain"), "answer-clusters")  # read for the weights and for the cores
         weighted = of.join(cl.cluster_weights(of), ["group", "cluster"]).where("flag = 1").select(F.col("group").alias("id"), "cluster", "weight", F.col("text").alias("plain"))
         return weighted.join(answers, ["id", "plain"]).select("id", "cluster", "weight", "answer")
 

@@ -91,3 +91,10 @@ def test_mined_pairs_need_no_clusters(spark, monkeypatch):
     assert out["pairs"].count() == 1 and made == []
     assert out["weights"].count() == 1 == out["clusters"].count() and made == ["question"]  # once for both
     assert len(out.items()) == len(out.values()) == 4 and made == ["question", "plain"]
+
+
+def test_mined_answers_are_clustered_once(spark):
+    rows = log(spark, [{"question": "路由器怎么安装呢请问", "answer": "请先打开电源再连接网线就行"}])
+    out = jobs.run_job("mining", spark, rows, jobs.JobConfig(ref="2023-05-30", domain=["路由器"]))["answers"]
+    assert out.count() == 1
+    assert "MapInArrow" not in out._jdf.queryExecution().optimizedPlan().toString()  # each use would make the clusters anew
